@@ -31,6 +31,16 @@ RAW_COLUMNS = (
 POSITION_COLUMNS = ("src_file", "src_block", "src_pos")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Use every core for a scan that has fewer splits than the cluster has cores.
+
+    That is a small file or one unsplittable archive; a large input has splits enough and
+    is left as it is, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def read_delimited(
     spark: SparkSession, path: str | list[str], header: list[str] | None = None, **options: str
 ) -> DataFrame:
@@ -45,13 +55,13 @@ def read_delimited(
         reader = reader.schema(", ".join(f"`{c}` string" for c in header))
     scan = reader.csv(path)
     columns = [na_to_null(F.col(f"`{c}`")).alias(c) for c in scan.columns]
-    return scan.select(
+    return spread(scan.select(
         *columns,
         F.col("_metadata.file_name").alias("source_sheet"),
         F.col("_metadata.file_path").alias("src_file"),
         F.col("_metadata.file_block_start").alias("src_block"),
         F.monotonically_increasing_id().alias("src_pos"),
-    )
+    ))
 
 
 def canonical_columns(raw: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kpiloom.config import Config
+from kpiloom.sources.delimited import spread
 
 TABLES = ("lineitem", "orders", "customer", "part")
 
@@ -63,6 +64,7 @@ _COLUMNS = "Invoice, StockCode, Description, Quantity, InvoiceDate, Price, Custo
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw string lines. Re-exported lines are repeated in place: one scan, one join."""
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES}
+    tables["lineitem"] = spread(tables["lineitem"])
     statement = (
         RAW_LINES_SQL
         + f"SELECT {_COLUMNS} FROM e LATERAL VIEW explode(sequence(1, copies)) AS copy"
