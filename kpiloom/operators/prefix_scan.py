@@ -9,15 +9,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
 
 from kpiloom.store import TableStore
 
-_SAMPLE_PER_BUCKET = 64
-_HASH_RANGE = 1_000_003
-
 
 @dataclass(frozen=True)
 class Key:
@@ -29,55 +25,6 @@ class Key:
     def column(self) -> Column:
         return F.col(self.name).desc_nulls_last() if self.descending else F.col(self.name).asc_nulls_first()
 
-    def precedes(self, value: object, dtype: DataType) -> Column:
-        """True for rows that sort strictly before ``value`` on this column."""
-        col = F.col(self.name)
-        if value is None:
-            return col.isNotNull() if self.descending else F.lit(False)
-        bound = F.lit(value).cast(dtype)
-        if self.descending:
-            return F.coalesce(col > bound, F.lit(False))
-        return F.coalesce(col < bound, F.lit(True))
-
-    def ties(self, value: object, dtype: DataType) -> Column:
-        return F.col(self.name).eqNullSafe(F.lit(value).cast(dtype))
-
-
-def _row_precedes(order: Sequence[Key], point: Row, types: Mapping[str, DataType]) -> Column:
-    """Lexicographic 'row sorts before point'."""
-    result = F.lit(False)
-    for key in reversed(order):
-        value, dtype = point[key.name], types[key.name]
-        result = key.precedes(value, dtype) | (key.ties(value, dtype) & result)
-    return result
-
-
-def _bucket(order, points: Sequence[Row], types, low: int, high: int) -> Column:
-    """Balanced decision tree: log2(#points) comparisons per row."""
-    if low == high:
-        return F.lit(low)
-    mid = (low + high) // 2
-    return F.when(
-        _row_precedes(order, points[mid], types), _bucket(order, points, types, low, mid)
-    ).otherwise(_bucket(order, points, types, mid + 1, high))
-
-
-def _split_points(work: DataFrame, order: Sequence[Key], rows: int, buckets: int) -> list[Row]:
-    """Evenly spaced order keys from a bounded sample.
-
-    The sample decides where ranges are cut, never which rows are kept. The whole order
-    key is sampled, so a value that dominates the first column is cut by the next one.
-    """
-    share = min(1.0, _SAMPLE_PER_BUCKET * buckets / rows)
-    names = [k.name for k in order]
-    picked = work.select(*names).where(
-        F.pmod(F.xxhash64(*names), F.lit(_HASH_RANGE)) < F.lit(int(share * _HASH_RANGE) + 1)
-    )
-    sample = picked.distinct().orderBy(*[k.column() for k in order]).collect()
-    step = len(sample) / buckets
-    chosen = [sample[int(i * step)] for i in range(1, buckets) if sample]
-    return list(dict.fromkeys(chosen))
-
 
 def prefix_scan(
     df: DataFrame,
@@ -111,10 +58,14 @@ def prefix_scan(
         )
         return out
 
+    # Ranges are cut on the whole order key, so a value that dominates the first column is
+    # split by the next one. They are sampled anew whenever the plan runs; writing the
+    # range number with the rows pins one outcome for the passes below.
     buckets = min(max_buckets, -(-rows // single_task_rows))
-    points = _split_points(work, order, rows, buckets)
-    types = {f.name: f.dataType for f in work.schema.fields}
-    ranged = work.withColumn("_bucket", _bucket(order, points, types, 0, len(points)))
+    ranged = store.cut(
+        work.repartitionByRange(buckets, *by).withColumn("_bucket", F.spark_partition_id()),
+        "ranges",
+    )
 
     measures = sorted({*sums.values(), *totals.values()})
     per_bucket = ranged.groupBy("_bucket").agg(

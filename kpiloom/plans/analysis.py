@@ -13,6 +13,7 @@ from kpiloom.plans.marts import with_country
 from kpiloom.plans.monthly import monthly_base, tree_factors, with_factors
 from kpiloom.plans.periods import PeriodPair
 from kpiloom.plans.star import UNIDENTIFIED
+from kpiloom.store import TableStore
 
 _BRIDGE = ("net_revenue", "net_revenue_identified", "net_revenue_guest", "kpi_tree_residual")
 
@@ -52,11 +53,12 @@ def decomposition_by_month(factors: DataFrame) -> DataFrame:
 
 
 def market_factors(
-    fact: DataFrame, customer_dim: DataFrame, periods: PeriodPair, cfg: Config
+    fact: DataFrame, customer_dim: DataFrame, periods: PeriodPair, cfg: Config, store: TableStore
 ) -> DataFrame:
     """Tree factors per market and period, derived again from the market's own lines.
 
-    Lines are combined to one row per customer and invoice before the market is looked up.
+    Lines are combined to one row per customer and invoice before the market is looked up;
+    the located invoices are written because several aggregations read them.
     """
     identified = periods.scope(fact).where(F.col("customer_key") != cfg.guest_customer_key)
     measures = ("gross_amount", "return_amount", "line_amount", "units_sold", "units_returned")
@@ -64,7 +66,7 @@ def market_factors(
         "month_key", "customer_key", "invoice_no", "is_cancellation_doc"
     ).agg(*[F.sum(c).alias(c) for c in measures])
     located = with_country(invoices, customer_dim, cfg, F.col("invoice_no"))
-    named = located.where(F.col("country") != UNIDENTIFIED)
+    named = store.cut(located.where(F.col("country") != UNIDENTIFIED), "located")
     base = monthly_base(named, cfg, by=["country"])
     return with_factors(base.withColumns(tree_factors()))
 

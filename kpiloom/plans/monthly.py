@@ -28,34 +28,41 @@ _IDENTIFIED_SUMS = {
 def monthly_base(fact: DataFrame, cfg: Config, by: Sequence[str] = ()) -> DataFrame:
     """Sums and distinct counts per month (and ``by``).
 
-    Distinct invoices and distinct customers are counted by two narrow aggregations
-    instead of COUNT(DISTINCT ...) variants side by side, which would copy every line once
-    per variant. Lines are combined to invoices before the first shuffle, so one invoice
-    or the guest segment may hold any share of the rows.
+    Three narrow scans instead of one wide one. The sums collapse to one row per group
+    before they are shuffled; only (invoice, three flags) and (customer) go through a
+    shuffle by document and by customer. COUNT(DISTINCT ...) variants side by side would
+    copy every line once per variant and drag all sums through the invoice shuffle. All
+    aggregations combine before shuffling, so one invoice or the guest segment may hold
+    any share of the rows.
     """
     group = ["month_key", *by]
     identified = F.col("customer_key") != cfg.guest_customer_key
     is_order = ~F.col("is_cancellation_doc")
 
-    def only(condition: Column, value: str) -> Column:
-        return F.sum(F.when(condition, F.col(value)))
+    def total(value: str, condition: Column | None = None) -> Column:
+        amount = F.col(value) if condition is None else F.when(condition, F.col(value))
+        return F.coalesce(F.sum(amount), F.lit(0))
 
-    invoices = fact.groupBy(*group, "invoice_no").agg(
-        *[F.sum(c).alias(name) for name, c in _SUMS.items()],
-        *[only(identified, c).alias(name) for name, c in _IDENTIFIED_SUMS.items()],
-        only(~identified, "line_amount").alias("net_revenue_guest"),
-        F.max(is_order).alias("_order"),
-        F.max(~is_order).alias("_credit"),
-        F.max(is_order & identified).alias("_order_identified"),
+    sums = fact.groupBy(*group).agg(
+        *[total(c).alias(name) for name, c in _SUMS.items()],
+        *[total(c, identified).alias(name) for name, c in _IDENTIFIED_SUMS.items()],
+        total("line_amount", ~identified).alias("net_revenue_guest"),
     )
     # A line without an invoice number adds to the sums but is no document to count.
-    document = F.col("invoice_no").isNotNull()
-    sums = [*_SUMS, *_IDENTIFIED_SUMS, "net_revenue_guest"]
-    totals = invoices.groupBy(*group).agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums],
-        F.count_if(F.col("_order") & document).alias("orders"),
-        F.count_if(F.col("_credit") & document).alias("credit_notes"),
-        F.count_if(F.col("_order_identified") & document).alias("orders_identified"),
+    documents = (
+        fact.where(F.col("invoice_no").isNotNull())
+        .groupBy(*group, "invoice_no")
+        .agg(
+            F.max(is_order).alias("_order"),
+            F.max(~is_order).alias("_credit"),
+            F.max(is_order & identified).alias("_order_identified"),
+        )
+        .groupBy(*group)
+        .agg(
+            F.count_if("_order").alias("orders"),
+            F.count_if("_credit").alias("credit_notes"),
+            F.count_if("_order_identified").alias("orders_identified"),
+        )
     )
     active = (
         fact.where(identified)
@@ -64,8 +71,13 @@ def monthly_base(fact: DataFrame, cfg: Config, by: Sequence[str] = ()) -> DataFr
         .groupBy(*group)
         .agg(F.count(F.lit(1)).alias("active_customers"))
     )
-    return totals.join(active, group, "left").withColumn(
-        "active_customers", F.coalesce("active_customers", F.lit(0))
+    if not by:  # one row per calendar month
+        documents, active = F.broadcast(documents), F.broadcast(active)
+    counts = ("orders", "credit_notes", "orders_identified", "active_customers")
+    return (
+        sums.join(documents, group, "left")
+        .join(active, group, "left")
+        .withColumns({c: F.coalesce(c, F.lit(0)) for c in counts})
     )
 
 

@@ -31,7 +31,8 @@ def _timestamp(raw: Column, formats: Sequence[str]) -> Column:
 def _whole_number(raw: Column) -> Column:
     """'12' and '12.0' are 12; a fractional or non-numeric value is a failure."""
     number = raw.try_cast("decimal(38,6)")
-    return F.when(number == F.floor(number), number.try_cast("bigint"))
+    exact = F.when(number == F.floor(number), number.try_cast("bigint"))
+    return F.coalesce(raw.try_cast("bigint"), exact)
 
 
 def typed_lines(raw: DataFrame, formats: Sequence[str] = TIMESTAMP_FORMATS) -> DataFrame:
@@ -51,13 +52,17 @@ def typed_lines(raw: DataFrame, formats: Sequence[str] = TIMESTAMP_FORMATS) -> D
         "country": clean_string(F.col("country")),
     }
     kept = [c for c in POSITION_COLUMNS if c in lines.columns]
-    return lines.select(
+    # Two steps, so that a value is parsed once for itself and its failure flag.
+    parsed = lines.select(
         *[typed[c].alias(c) for c in RAW_COLUMNS],
         "source_sheet",
-        *[
-            (F.col(c).isNotNull() & typed[c].isNull()).alias(f"failed_{c}")
-            for c in COUNTED_COERCIONS
-        ],
+        *[F.col(c).isNotNull().alias(f"given_{c}") for c in COUNTED_COERCIONS],
+        *kept,
+    )
+    return parsed.select(
+        *RAW_COLUMNS,
+        "source_sheet",
+        *[(F.col(f"given_{c}") & F.col(c).isNull()).alias(f"failed_{c}") for c in COUNTED_COERCIONS],
         *kept,
     )
 
