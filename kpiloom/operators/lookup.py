@@ -17,15 +17,23 @@ def lookup(
 ) -> DataFrame:
     """Add ``values`` (out -> table column) for the row's ``key``; NULL keys match nothing.
 
-    The planner broadcasts the table when its measured size allows. When it does not, both
-    sides are shuffled on the key, and rows with a NULL key, which would all land in one
-    partition, are spread by a second, otherwise constant key column.
+    The planner broadcasts the table when its written size allows. When it does not, both
+    sides are shuffled on the key and a slot derived from it. Rows with a NULL key, which
+    would all land in one partition, take their slot from ``spread_by`` instead. The slot
+    is a hash on both sides: a constant would be folded away and leave the key alone.
     """
-    slot = F.when(key.isNull(), F.pmod(F.xxhash64(spread_by), F.lit(spread))).otherwise(F.lit(0))
-    keyed = rows.withColumns({"_key": key, "_slot": slot.cast("int")})
+    key = key.cast(table.schema[table_key].dataType)
+
+    def slot(column: Column) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(spread)).cast("int")
+
+    keyed = rows.withColumns({
+        "_key": key,
+        "_slot": F.when(key.isNull(), slot(spread_by)).otherwise(slot(key)),
+    })
     side = table.select(
         F.col(table_key).alias("_key"),
-        F.lit(0).alias("_slot"),
+        slot(F.col(table_key)).alias("_slot"),
         *[F.col(c).alias(out) for out, c in values.items()],
     )
     return keyed.join(side, ["_key", "_slot"], "left").drop("_key", "_slot")

@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from kpiloom.store import TableStore
 
 
+# A block row is a path and two numbers, so this is some 200 MB on each executor.
+_BROADCAST_BLOCKS = 1_000_000
+
+
 @dataclass(frozen=True)
 class Key:
     """One ordering column; NULLs come first ascending and last descending."""
@@ -109,7 +113,7 @@ def block_positions(
 
     ``position`` has to be consecutive inside a block. The rows themselves are not
     aggregated or sorted: one row per block (input split or written file) is. That offset
-    table is written, so the planner knows its size when it picks the join.
+    table is broadcast while it is small enough; beyond that the planner joins it.
     """
     sizes = df.groupBy(*blocks).agg(
         F.count(F.lit(1)).alias("_n"), F.min(position).alias("_start")
@@ -117,6 +121,8 @@ def block_positions(
     before = Window.orderBy(*blocks).rowsBetween(Window.unboundedPreceding, -1)
     shift = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_start") + 1
     offsets = store.cut(sizes.select(*blocks, shift.alias("_shift")), "offsets")
+    if offsets.count() <= _BROADCAST_BLOCKS:
+        offsets = F.broadcast(offsets)
     return (
         df.join(offsets, list(blocks))
         .withColumn(out, (F.col(position) + F.col("_shift")).cast("bigint"))

@@ -238,6 +238,31 @@ class Warehouse:
     def products(self) -> DataFrame:
         return self.mart("mart_product_period")
 
+    def dashboard(self) -> dict[str, DataFrame]:
+        """The small tables a dashboard or a findings document shows."""
+        cfg, decomposition = self.cfg, self.mart("mart_driver_decomposition")
+        cohorts, countries = self.mart("mart_cohort_retention"), self.mart("mart_country_period")
+        families, factors = self.mart("mart_returns_family"), self.kpi_monthly_factors
+        return {
+            "kpi_cards": self.kpi_cards(),
+            "kpi_comparison": datasets.kpi_comparison(self.kpi_monthly, self.periods),
+            "kpi_trend": datasets.kpi_trend(self.kpi_monthly),
+            "top_drivers": datasets.top_drivers(decomposition),
+            "waterfall": datasets.waterfall(decomposition, self.kpi_monthly, self.periods),
+            "guest_bridge": analysis.guest_bridge(factors, self.periods),
+            "returns_trend": datasets.returns_trend_focus(families, self.mart("mart_returns_monthly")),
+            "market_movers": datasets.market_movers(countries),
+            "pareto": datasets.pareto_top_n(self.products(), cfg.top_n),
+            "product_decliners": analysis.product_decliners(self.products()),
+            "product_growers": analysis.product_growers(self.products()),
+            "top_article_share": datasets.top_article_share(self.products()),
+            "concentration": analysis.concentration_summary(self.mart("mart_customer_concentration")),
+            "cohort_grid": datasets.cohort_grid(cohorts, self.kpi_monthly, cfg),
+            "retention": datasets.retention_mature(cohorts, self.kpi_monthly, cfg),
+            "insights": self.insight_rules(),
+            "dq_rules_fired": datasets.dq_rules_fired(self.dq_report),
+        }
+
 
 def run(
     raw: DataFrame,
@@ -257,5 +282,7 @@ def run(
     marts.require_reconciled(published["mart_reconciliation"], cfg)
     if out_dir:
         sinks.export_marts(published, out_dir)
-        warehouse.run_context().coalesce(1).write.mode("overwrite").json(f"{out_dir}/run_context")
+        shown = {**warehouse.dashboard(), "run_context": warehouse.run_context()}
+        for name, table in shown.items():
+            sinks.export_records(datasets.json_records(table), f"{out_dir}/dashboard/{name}")
     return warehouse

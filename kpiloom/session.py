@@ -15,6 +15,8 @@ def build_session(app_name: str = "kpiloom", master: str | None = None, **conf:
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Dimension tables of this size are looked up without shuffling the lines.
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     }
     if master and master.startswith("local"):
         defaults |= {

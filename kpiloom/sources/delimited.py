@@ -50,7 +50,8 @@ def read_delimited(
     The scan also carries where each line came from, so that input order can be
     restored later without a sort.
     """
-    reader = spark.read.option("header", True).options(**options)
+    # A quote inside a quoted value is written twice.
+    reader = spark.read.option("header", True).option("escape", '"').options(**options)
     if header:
         reader = reader.schema(", ".join(f"`{c}` string" for c in header))
     scan = reader.csv(path)

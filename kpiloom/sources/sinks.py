@@ -19,6 +19,11 @@ def export_marts(marts: Mapping[str, DataFrame], folder: str, fmt: str = "csv")
             writer.format(fmt).save(f"{folder}/{name}")
 
 
+def export_records(records: DataFrame, folder: str) -> None:
+    """Write one JSON document per line."""
+    records.write.mode("overwrite").text(folder)
+
+
 def write_table(df: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> int:
     """Full refresh of a catalog table; returns its row count."""
     writer = df.write.mode("overwrite").format("parquet")

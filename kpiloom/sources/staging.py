@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.functions.numbers import PRICE_TYPE
@@ -121,19 +121,22 @@ def number_by_content(typed: DataFrame, store: TableStore, single_task_rows: int
         sums={"_last": "_copies"},
         single_task_rows=single_task_rows,
     )
+    last = F.col("_last").cast("bigint")
     chunk = F.lit(single_task_rows).cast("bigint")
-    one_chunk = F.col("_copies") <= chunk
-    first = F.col("_last").cast("bigint") - F.col("_copies") + 1
-    bounds = scanned.withColumn("_first", first)
-
-    few = bounds.where(one_chunk).withColumn("_end", F.col("_last").cast("bigint"))
-    many = (
-        bounds.where(~one_chunk)
-        .withColumn("_first", F.explode(F.sequence(F.col("_first"), F.col("_last").cast("bigint"), chunk)))
-        .withColumn("_end", F.least(F.col("_first") + chunk - 1, F.col("_last").cast("bigint")))
-        .hint("rebalance")
+    pieces = (
+        scanned.withColumn(
+            "_first", F.explode(F.sequence(last - F.col("_copies") + 1, last, chunk))
+        )
+        .withColumn("_end", F.least(F.col("_first") + chunk - 1, last))
+        # A fixed number of partitions: sized by bytes, the few short rows that stand for
+        # most of the copies would be merged into one task again.
+        .repartition(_expansion_tasks(typed.sparkSession), "_first")
     )
-    pieces = few.unionByName(many)
     return pieces.select(
         F.explode(F.sequence("_first", "_end")).alias("source_row_id"), *columns
     )
+
+
+def _expansion_tasks(spark: SparkSession) -> int:
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(configured, 2 * spark.sparkContext.defaultParallelism)

@@ -1,4 +1,5 @@
 import random
+import re
 from decimal import Decimal
 
 import pytest
@@ -78,7 +79,13 @@ def test_lookup_with_many_missing_keys(spark, threshold):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", threshold)
     try:
-        got = lookup(rows, table, F.col("k"), "code", F.col("id"), {"val": "val"}).collect()
+        found = lookup(rows, table, F.col("k"), "code", F.col("id"), {"val": "val"})
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        # Shuffled, rows without a key are partitioned by the slot as well.
+        assert ("hashpartitioning(_key" in plan) == (threshold == "-1")
+        if threshold == "-1":
+            assert re.search(r"hashpartitioning\(_key#\d+L?, _slot#\d+", plan)
+        got = found.collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

@@ -26,10 +26,12 @@ def test_typed_lines_from_csv(spark, store, tmp_path):
         "C489435,POST,N/A,-3,12/1/2009 7:46,1e1,13085.0,  ",
         "489436,22041,BOX,2.5,soon,n/a,abc,France",
         "489437,22042,nan,12.0,2009-12-01,free,,France",
+        '489438,22043,"LIGHT ""PINK"", SMALL",1,2009-12-01,1,1,France',
     ], compress=True)
     landed = staging.landing(read_delimited(spark, str(tmp_path)), store)
     rows = staging.number_by_position(landed, store).orderBy("source_row_id").collect()
-    assert [r.source_row_id for r in rows] == [1, 2, 3, 4]
+    assert [r.source_row_id for r in rows] == [1, 2, 3, 4, 5]
+    assert rows.pop().description == 'LIGHT "PINK", SMALL'
     assert [r.stock_code for r in rows] == ["85048A", "POST", "22041", "22042"]
     assert [r.description for r in rows] == ["white  mug", None, "BOX", None]
     assert [r.quantity for r in rows] == [12, -3, None, 12]

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,7 +120,11 @@ def test_run_publishes_everything(spark, store, tmp_path):
     warehouse = run(raw_lines(spark, SF_DIR), PROFILE, out, store=store)
     for name in PUBLISHED:
         assert spark.read.option("header", True).csv(f"{out}/{name}").count() == warehouse.mart(name).count()
-    context = spark.read.json(f"{out}/run_context").first()
+    cards = [json.loads(r.value) for r in spark.read.text(f"{out}/dashboard/kpi_cards").collect()]
+    assert sorted(c["position"] for c in cards) == [1, 2, 3, 4, 5, 6]
+    steps = [json.loads(r.value) for r in spark.read.text(f"{out}/dashboard/waterfall").collect()]
+    assert len(steps) == 7
+    context = spark.read.json(f"{out}/dashboard/run_context").first()
     assert (context.rows_read, context.rows_quarantined, context.dq_score) == (6023, 52, 99.11)
     assert context.source_label == "SYNTHETIC DEMO SAMPLE"
 
