@@ -1,20 +1,21 @@
-"""Headline timings: one refresh from raw lines, then every mart over the star schema.
+"""Headline timings: one complete refresh, then every mart by itself.
 
-Prints one JSON line. ``warehouse_build`` is raw lines -> checked lines -> dimensions ->
-partitioned fact, as a scheduled run would do it, in a fresh folder; the marts are timed one
-by one on top of it and are not reused between the timed queries.
+Prints one JSON line. ``refresh`` is everything a scheduled run does, in a cold session and a
+fresh folder: raw lines, quality, star schema, all marts, both gates, and the export. The
+marts are then computed again one by one from the stored star schema.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 from pathlib import Path
 
 from kpiloom.config import Config
-from kpiloom.plans import analysis
-from kpiloom.plans.warehouse import Warehouse
+from kpiloom.plans import analysis, star
+from kpiloom.plans.warehouse import Warehouse, run
 from kpiloom.session import build_session
 from kpiloom.sources.testdata import PROFILE, raw_lines
 
@@ -45,16 +46,17 @@ def main() -> None:
 
     # The check profile scans in many small ranges; the benchmark uses the default size.
     cfg = PROFILE.with_(single_task_rows=Config.single_task_rows)
-    w = Warehouse(raw_lines(spark, sf_dir), cfg)
-    timed("landing", lambda: w.landing)
-    timed("checked_lines", lambda: w.checked)
-    timed("dimensions", lambda: (w.dim_date, w.dim_customer, w.dim_product))
-    timed("fct_sales_line", lambda: w.fct_sales_line)
-    timings["warehouse_build"] = round(sum(timings.values()), 3)
-    timed("kpi_monthly", lambda: w.kpi_monthly)
-    timed("reporting_period", lambda: w.periods)
+    done: list[Warehouse] = []
+    with tempfile.TemporaryDirectory(prefix="bench-") as out:
+        timed("refresh", lambda: done.append(run(raw_lines(spark, sf_dir), cfg, out)))
+    w = done[0]
+    rows = w.checked.count()
+
     for name in MARTS:
         timed(name, lambda name=name: drain(w.build(name)))
+    timed("kpi_monthly", lambda: drain(w.build_kpi_monthly()))
+    timed("dim_customer", lambda: drain(star.dim_customer(w.clean, cfg, w.store)))
+    timed("dim_product", lambda: drain(star.dim_product(w.clean, cfg, w.store)))
     timed(
         "driver_decomposition_by_market",
         lambda: drain(analysis.decomposition_by_market(w.build("market_factors"), w.periods)),
@@ -65,17 +67,14 @@ def main() -> None:
     )
     timed("insight_rules", lambda: drain(w.insight_rules()))
 
-    parts = ("landing", "checked_lines", "dimensions", "fct_sales_line")
-    total = sum(v for k, v in timings.items() if k not in parts)
-    rows = w.checked.count()
     print(json.dumps({
-        "metric": "refresh and all marts",
-        "value": round(total, 3),
+        "metric": "sum of query times",
+        "value": round(sum(timings.values()), 3),
         "unit": "sec",
         "queries": timings,
         "sf": Path(sf_dir).name.removeprefix("sf"),
         "lines": rows,
-        "lines_per_sec": round(rows / total, 1),
+        "refresh_lines_per_sec": round(rows / timings["refresh"], 1),
     }))
     spark.stop()
 

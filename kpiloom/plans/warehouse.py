@@ -8,6 +8,7 @@ the reconciliation gate (six rows). Shared tables are written once and read back
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,12 @@ PUBLISHED = (
 )
 
 
+def together(*actions: Callable[[], object]) -> list[object]:
+    """Submit independent Spark actions side by side; small jobs then share the cores."""
+    with ThreadPoolExecutor(max_workers=6) as pool:
+        return list(pool.map(lambda action: action(), actions))
+
+
 class Warehouse:
     """The tables of one refresh. Build once, then derive marts from the stored tables."""
 
@@ -124,6 +131,14 @@ class Warehouse:
     def periods(self) -> PeriodPair:
         return resolve_periods(self.kpi_monthly, self.cfg)
 
+    def prepare(self) -> None:
+        """Write the star schema and the monthly mart."""
+        self.checked
+        together(lambda: self.dim_date, lambda: self.dim_customer, lambda: self.dim_product)
+        self.fct_sales_line
+        self.kpi_monthly
+        self.periods
+
     # -- marts ------------------------------------------------------------------------
 
     def _builders(self) -> dict[str, Callable[[], DataFrame]]:
@@ -278,11 +293,22 @@ def run(
     """
     warehouse = Warehouse(raw, cfg, rules, store)
     engine.require_score(warehouse.dq_report, cfg.min_dq_score)
-    published = {name: warehouse.mart(name) for name in PUBLISHED}
+    warehouse.prepare()
+    tables = together(*[lambda name=name: warehouse.mart(name) for name in PUBLISHED])
+    published = dict(zip(PUBLISHED, tables))
     marts.require_reconciled(published["mart_reconciliation"], cfg)
     if out_dir:
-        sinks.export_marts(published, out_dir)
         shown = {**warehouse.dashboard(), "run_context": warehouse.run_context()}
-        for name, table in shown.items():
-            sinks.export_records(datasets.json_records(table), f"{out_dir}/dashboard/{name}")
+        together(
+            *[
+                lambda name=name, mart=mart: sinks.export_marts({name: mart}, out_dir)
+                for name, mart in published.items()
+            ],
+            *[
+                lambda name=name, table=table: sinks.export_records(
+                    datasets.json_records(table), f"{out_dir}/dashboard/{name}"
+                )
+                for name, table in shown.items()
+            ],
+        )
     return warehouse

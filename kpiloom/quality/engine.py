@@ -76,17 +76,20 @@ def _violation(rule: Rule, cfg: Config) -> Column:
     raise ValueError(f"rule {rule.id}: unknown check '{rule.check}'")
 
 
-def _first_of_duplicates(lines: DataFrame, rule: Rule, store: TableStore) -> DataFrame:
+def _first_of_duplicates(
+    lines: DataFrame, keyed: DataFrame, rule: Rule, store: TableStore
+) -> DataFrame:
     """Attach the first row id of the row's key group, for groups with repeats only.
 
-    The group minimum is combined before the shuffle, so a key repeated millions of times
+    ``keyed`` are the same lines before joins that leave the key columns alone, so that the
+    search does not repeat those joins. The group minimum is combined before the shuffle, so a key repeated millions of times
     stays one partial row per task. Only repeated keys are written and joined back: their
     table is usually small enough to be broadcast, and when it is not, the join is between
     two plain exchanges, which AQE splits where one key holds most of the rows.
     """
     first = f"_first_{rule.id}"
     repeated = (
-        lines.groupBy(*rule.key)
+        keyed.groupBy(*rule.key)
         .agg(F.min("source_row_id").alias(first), F.count(F.lit(1)).alias("_copies"))
         .where(F.col("_copies") > 1)
         .drop("_copies")
@@ -126,9 +129,11 @@ def check_lines(
     """
     flags: dict[str, list[Column]] = {}
     owners: list[Column] = []
+    staged, repaired = lines, set()
     for rule in sorted(rules, key=lambda r: ACTION_ORDER[r.action]):
         if rule.check == "duplicate_rows":
-            lines = _first_of_duplicates(lines, rule, store)
+            keyed = lines if repaired & set(rule.key) else staged
+            lines = _first_of_duplicates(lines, keyed, rule, store)
         scope = _in_scope(rule, cfg)
         failed = F.coalesce(_violation(rule, cfg), F.lit(False))
         masks = {failed_column(rule): failed if scope is None else failed & scope}
@@ -138,6 +143,7 @@ def check_lines(
 
         if rule.action == "fix":
             lines = _apply_fix(lines, rule, cfg, store)
+            repaired.add(rule.column)
         elif rule.action == "flag":
             flags.setdefault(rule.flag_column, []).append(F.col(failed_column(rule)))
         else:
