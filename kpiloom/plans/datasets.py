@@ -9,6 +9,7 @@ from kpiloom.config import Config
 from kpiloom.functions.months import month_label, shift_month
 from kpiloom.functions.numbers import fixed
 from kpiloom.operators.decompose import FACTOR_NAMES
+from kpiloom.operators.onerow import with_row
 from kpiloom.plans.analysis import retention_summary, sellable
 from kpiloom.plans.periods import PeriodPair
 
@@ -88,7 +89,7 @@ def top_article_share(products: DataFrame, n: int = 20) -> DataFrame:
         F.count(F.lit(1)).alias("articles"),
     )
     share = F.lit(100.0) * F.col("top_net_revenue") / F.nullif("total_net_revenue", F.lit(0.0))
-    return whole.crossJoin(F.broadcast(best)).select(
+    return with_row(whole, best).select(
         "top_net_revenue", "total_net_revenue", fixed(share, 4).alias("share_pct"), "articles"
     )
 
@@ -103,9 +104,9 @@ def retention_mature(cohorts: DataFrame, monthly: DataFrame, cfg: Config) -> Dat
     """The last twelve sizeable cohorts whose horizon month has been completed."""
     at_horizon = retention_summary(cohorts, cfg.retention_horizon)
     horizon_month = shift_month(F.col("cohort_month_key"), cfg.retention_horizon)
+    sizeable = at_horizon.where(F.col("cohort_customers") >= cfg.min_cohort_customers)
     return (
-        at_horizon.where(F.col("cohort_customers") >= cfg.min_cohort_customers)
-        .crossJoin(F.broadcast(last_complete_month(monthly)))
+        with_row(sizeable, last_complete_month(monthly))
         .where(horizon_month <= F.col("last_complete"))
         .orderBy(F.col("cohort_month_key").desc())
         .limit(_MATURE_ROWS)
@@ -127,11 +128,8 @@ def kpi_cards(
     A falling return rate is good; the quality card has no direction.
     """
     columns = ["net_revenue", "return_rate_pct", "active_customers", "orders", "aov"]
-    wide = (
-        both_months(monthly, periods, columns)
-        .crossJoin(F.broadcast(score))
-        .crossJoin(F.broadcast(counts.select("quarantine_rate_pct")))
-    )
+    wide = with_row(both_months(monthly, periods, columns), score)
+    wide = with_row(wide, counts.select("quarantine_rate_pct"))
     no_verdict = F.lit(None).cast("boolean")
 
     def percent(name: str, empty: str) -> Column:
@@ -237,10 +235,9 @@ def cohort_grid(cohorts: DataFrame, monthly: DataFrame, cfg: Config) -> DataFram
     Naming the offsets saves the pivot the job that would look them up.
     """
     limit = shift_month(F.col("last_complete"), -cfg.retention_horizon)
-    mature = (
-        cohorts.where(F.col("cohort_customers") >= cfg.min_cohort_customers)
-        .crossJoin(F.broadcast(last_complete_month(monthly)))
-        .where(F.col("cohort_month_key") <= limit)
+    sizeable = cohorts.where(F.col("cohort_customers") >= cfg.min_cohort_customers)
+    mature = with_row(sizeable, last_complete_month(monthly)).where(
+        F.col("cohort_month_key") <= limit
     )
     offsets = list(range(_COHORT_OFFSETS))
     grid = (

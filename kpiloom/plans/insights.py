@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.functions.numbers import change_pct, fixed
+from kpiloom.operators.onerow import with_row
 from kpiloom.plans.periods import PeriodPair
 from kpiloom.plans.star import UNIDENTIFIED
 
@@ -57,13 +58,13 @@ def insight_rules(
     cmp = monthly.where(col("month_key") == periods.comparison)
     names = ("net_revenue", "new_customers", "returning_customers")
     # One row: both reporting months side by side.
-    head = cur.select(
-        *[col(c).cast("double").alias(c) for c in (*names, "net_revenue_guest")],
-        "guest_revenue_share_pct",
-    ).crossJoin(F.broadcast(cmp.select(*[col(c).cast("double").alias(f"{c}_cmp") for c in names])))
-
-    def against_head(one_row: DataFrame) -> DataFrame:
-        return head.crossJoin(F.broadcast(one_row))
+    head = with_row(
+        cur.select(
+            *[col(c).cast("double").alias(c) for c in (*names, "net_revenue_guest")],
+            "guest_revenue_share_pct",
+        ),
+        cmp.select(*[col(c).cast("double").alias(f"{c}_cmp") for c in names]),
+    )
 
     # R1: the family whose return rate costs the most against last period's rate.
     worst_family = families.where(col("excess_returns_value").isNotNull()).agg(
@@ -71,7 +72,7 @@ def insight_rules(
         F.min_by("product_family", F.struct((-col("excess_returns_value")).alias("x"), "product_family")).alias("subject"),
     )
     limit = F.lit(RETURN_COST_SHARE) * col("net_revenue")
-    r1 = against_head(worst_family).select(*_rule(
+    r1 = with_row(head, worst_family).select(*_rule(
         "R1", (col("net_revenue") > 0) & (col("excess") > limit),
         col("excess"), limit, col("excess"), col("subject"),
     ))
@@ -85,7 +86,7 @@ def insight_rules(
     acquisition = change_pct(col("new_customers"), col("new_customers_cmp")) < change_pct(
         col("returning_customers"), col("returning_customers_cmp")
     )
-    r2 = against_head(base).select(*_rule(
+    r2 = with_row(head, base).select(*_rule(
         "R2", (col("total") != 0) & (col("share") > CUSTOMER_SHARE_PCT),
         col("share"), F.lit(CUSTOMER_SHARE_PCT), F.abs("contribution"), F.lit("active_customers"),
         F.when(acquisition, F.lit("acquisition led")).otherwise(F.lit("retention led")),
@@ -118,7 +119,7 @@ def insight_rules(
     ))
 
     # R6: materiality first, ranking second: the material market that fell most.
-    material = countries.crossJoin(F.broadcast(head.select(col("net_revenue").alias("_total")))).where(
+    material = with_row(countries, head.select(col("net_revenue").alias("_total"))).where(
         (col("country") != UNIDENTIFIED)
         & (col("net_revenue_cmp").cast("double") >= F.lit(MARKET_MATERIALITY) * col("_total"))
         & col("net_revenue_change_pct").isNotNull()
@@ -127,7 +128,7 @@ def insight_rules(
         _worst([col("net_revenue_change_pct")], "country", "net_revenue_delta").alias("w")
     ).select("w.*")
     gap = col("net_revenue_change_pct") - change_pct(col("net_revenue"), col("net_revenue_cmp"))
-    r6 = against_head(fell).select(*_rule(
+    r6 = with_row(head, fell).select(*_rule(
         "R6", gap < MARKET_GAP_PP, gap, F.lit(MARKET_GAP_PP), F.abs("net_revenue_delta"),
         col("country"),
     ))

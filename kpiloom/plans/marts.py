@@ -9,6 +9,7 @@ from kpiloom.config import Config
 from kpiloom.functions.months import months_between_keys
 from kpiloom.functions.numbers import fixed, money, ratio, sum_if
 from kpiloom.operators.lookup import lookup
+from kpiloom.operators.onerow import with_row
 from kpiloom.operators.prefix_scan import Key, prefix_scan
 from kpiloom.plans.periods import PeriodPair
 from kpiloom.plans.star import UNIDENTIFIED
@@ -301,7 +302,7 @@ def reconciliation(fact: DataFrame, monthly: DataFrame) -> DataFrame:
         .distinct()
         .agg(F.count(F.lit(1)).alias("f_orders"))
     )
-    fact_total = lines.crossJoin(F.broadcast(orders))
+    fact_total = with_row(lines, orders)
     mart_total = monthly.agg(
         money(F.sum("net_revenue")).alias("m_net"),
         money(F.sum("gross_revenue")).alias("m_gross"),
@@ -326,8 +327,7 @@ def reconciliation(fact: DataFrame, monthly: DataFrame) -> DataFrame:
         )
         for metric, a, b in checks
     ]
-    # One-row relations throughout.
-    return fact_total.crossJoin(F.broadcast(mart_total)).select(F.inline(F.array(*rows)))
+    return with_row(fact_total, mart_total).select(F.inline(F.array(*rows)))
 
 
 def reconciliation_breaches(recon: DataFrame, cfg: Config) -> DataFrame:

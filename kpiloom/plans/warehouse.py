@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.config import Config
 from kpiloom.functions.numbers import fixed
+from kpiloom.operators.onerow import with_row
 from kpiloom.plans import analysis, datasets, insights, marts, monthly, star
 from kpiloom.plans.periods import PeriodPair, reporting_period, resolve_periods
 from kpiloom.quality import engine
@@ -232,7 +233,7 @@ class Warehouse:
         bridge = analysis.guest_bridge(self.kpi_monthly_factors, self.periods)
         out = provenance
         for one_row in (counts, self.dq_score(), self.reporting_period(), bridge):
-            out = out.crossJoin(F.broadcast(one_row))
+            out = with_row(out, one_row)
         return out
 
     def mart_row_counts(self) -> DataFrame:

@@ -53,6 +53,8 @@ def read_delimited(
     # A quote inside a quoted value is written twice.
     reader = spark.read.option("header", True).option("escape", '"').options(**options)
     if header:
+        # The first line is still checked against the names given.
+        reader = reader.option("enforceSchema", False)
         reader = reader.schema(", ".join(f"`{c}` string" for c in header))
     scan = reader.csv(path)
     columns = [na_to_null(F.col(f"`{c}`")).alias(c) for c in scan.columns]
