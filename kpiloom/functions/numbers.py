@@ -17,7 +17,7 @@ AMOUNT_TYPE = "decimal(18,4)"
 def fixed(value: Column, digits: int) -> Column:
     """Round a double half up to ``digits`` places and return a double."""
     return (
-        value.cast("double").cast("decimal(28,8)").cast(f"decimal(28,{digits})").cast("double")
+        value.cast("double").cast("decimal(38,8)").cast(f"decimal(38,{digits})").cast("double")
     )
 
 

@@ -204,7 +204,9 @@ def fct_sales_line(
     # A missing quantity or price passes the shipped rules; it moves no money or unit.
     quantity = F.coalesce("quantity", F.lit(0).cast("bigint"))
     price = F.coalesce("unit_price", F.lit(0).cast("decimal(18,6)"))
-    amount = (quantity.cast("decimal(18,0)") * price).cast(AMOUNT_TYPE)
+    exact = quantity.cast("decimal(19,0)") * price
+    too_large = F.raise_error(F.concat(F.lit("line amount out of range: "), exact.cast("string")))
+    amount = F.coalesce(exact.try_cast(AMOUNT_TYPE), too_large.cast(AMOUNT_TYPE))
     is_return = F.coalesce(F.col("quantity") < cfg.return_quantity_threshold, F.lit(False))
     no_amount, no_units = F.lit(0).cast(AMOUNT_TYPE), F.lit(0).cast("bigint")
     prefix = cfg.cancellation_prefix

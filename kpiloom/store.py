@@ -72,9 +72,17 @@ class TableStore:
         return self.get(name)
 
     def get(self, name: str) -> DataFrame:
-        schema = self.schemas[name]
+        schema = self.schemas.get(name)
+        if schema is None:  # written by an earlier application
+            return self.spark.read.parquet(self.path(name))
         return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.names)
 
+    def discard(self) -> None:
+        """Delete the whole folder, once everything wanted from it is published."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self.schemas.clear()
+
     def cut(self, df: DataFrame, label: str = "cut") -> DataFrame:
         """Write an intermediate result under a name of its own."""
         return self.put(f"_{label}_{next(self._cuts)}", df)

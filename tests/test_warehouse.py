@@ -146,3 +146,26 @@ def test_unknown_product_stops_the_fact(spark, sample):
 
 def test_store_uses_the_folder_of_the_session(spark):
     assert TableStore(spark).root.startswith(shared_folder(spark))
+
+
+def test_store_can_be_reopened_and_discarded(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "kept"))
+    store.put("t", spark.range(6).withColumn("m", F.col("id") % 2), partition_by=("m",))
+    assert store.get("t").columns == ["id", "m"]
+    assert TableStore(spark, store.root).get("t").where("m = 1").count() == 3
+    store.discard()
+    assert not (tmp_path / "kept").exists() and tmp_path.exists()
+
+
+def test_an_impossible_amount_is_an_error_and_not_a_null(spark, sample):
+    from kpiloom.plans import star
+
+    lines = sample.clean.limit(1).withColumns({
+        "quantity": F.lit(10**15).cast("bigint"), "unit_price": F.lit("99999").cast("decimal(18,6)"),
+    })
+    fact = star.fct_sales_line(lines, sample.dim_customer, sample.dim_product, PROFILE)
+    with pytest.raises(Exception, match="line amount out of range"):
+        fact.collect()
+    large = lines.withColumn("quantity", F.lit(10**8).cast("bigint"))
+    row = star.fct_sales_line(large, sample.dim_customer, sample.dim_product, PROFILE).first()
+    assert float(row.line_amount) == 99999 * 10**8
