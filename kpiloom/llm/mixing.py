@@ -145,7 +145,8 @@ def pieces(rows: DataFrame, per_source: DataFrame, settings: Settings = Settings
     held = rows.where("size > 0").select(
         "doc_id", "_hash", "_copy", "_s", "size", "_at",
         F.explode(F.sequence(F.floor(F.col("_at") / b), F.floor((F.col("_at") + F.col("size") - 1) / b))).alias("_block"))
-    joined = held.join(slots(per_source, settings), ["_s", "_block"])
+    # The planner can't know how many slots a source row becomes: never broadcast them.
+    joined = held.join(slots(per_source, settings).hint("merge"), ["_s", "_block"])
     low = F.greatest(F.col("_at"), F.col("_block") * b)
     high = F.least(F.col("_at") + F.col("size"), F.col("_block") * b + F.col("_want"))
     return joined.where(low < high).select(

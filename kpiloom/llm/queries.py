@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import line_templates, mixing, packing, quality_fm
+from kpiloom.llm import jaccard_join, line_templates, mixing, packing, quality_fm
 from kpiloom.llm.common import table
 
 
@@ -24,6 +24,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return jaccard_join.components(docs).select("doc_id", "n_shingles", "component_id")
+
+
 def op3_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality_fm.fit(docs, labels)
@@ -44,6 +49,7 @@ def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
+        "op2_jaccard_join": op2_jaccard_join,
         "op3_quality_fm": op3_quality_fm,
         "op9_mixing": op9_mixing,
         "op10_line_templates": op10_line_templates,
