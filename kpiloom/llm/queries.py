@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import jaccard_join, line_templates, mixing, packing, quality_fm
+from kpiloom.llm import jaccard_join, line_templates, mixing, packing, page_templates, quality_fm, suffix_dedup
 from kpiloom.llm.common import table
 
 
@@ -36,6 +36,15 @@ def op3_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", quality_fm.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return suffix_dedup.remove_repeated(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op8_page_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_templates.main_text(table(spark, sf_dir, "pages"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mixing.taken(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -51,6 +60,8 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": op1_packing,
         "op2_jaccard_join": op2_jaccard_join,
         "op3_quality_fm": op3_quality_fm,
+        "op7_suffix_dedup": op7_suffix_dedup,
+        "op8_page_templates": op8_page_templates,
         "op9_mixing": op9_mixing,
         "op10_line_templates": op10_line_templates,
     }
