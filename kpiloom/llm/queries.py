@@ -7,10 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import jaccard_join, line_templates, mixing, packing, page_templates, quality_fm, suffix_dedup
+from kpiloom.llm import (
+    ball_tree, decision_list, jaccard_join, line_templates, mixing, packing, page_templates, personal_data, quality_fm,
+    suffix_dedup,
+)
 from kpiloom.llm.common import table
 
 
+#: Each query vector against every other row, ranked.
+TOP_K = """
+WITH usable AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def tokenizer(name: str = "word_bpe_49k.json") -> str:
     """Path of a public tokenizer; the operators take it as a parameter."""
     import public_tokenizers
@@ -36,6 +57,21 @@ def op3_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", quality_fm.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op4_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    judged, _ = decision_list.judge(docs, labels)
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.find(table(spark, sf_dir, "documents"))
+
+
+def op6_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return suffix_dedup.remove_repeated(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -60,6 +96,9 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": op1_packing,
         "op2_jaccard_join": op2_jaccard_join,
         "op3_quality_fm": op3_quality_fm,
+        "op4_decision_list": op4_decision_list,
+        "op5_personal_data": op5_personal_data,
+        "op6_ball_tree": op6_ball_tree,
         "op7_suffix_dedup": op7_suffix_dedup,
         "op8_page_templates": op8_page_templates,
         "op9_mixing": op9_mixing,
@@ -69,4 +108,4 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def statements() -> dict[str, str]:
     """SQL for the queries that SQL can express."""
-    return {}
+    return {"op6_ball_tree": TOP_K}
