@@ -192,7 +192,9 @@ def spans(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     small = brought.where("NOT large").repartition("gram").sortWithinPartitions("gram").mapInPandas(
         compare, "_key long, low long, high long")
-    # Large groups are rare: their texts are read once more rather than kept for both.
+    if not kinds.where(F.col("_kinds") > settings.group).limit(1).count():
+        return whole.union(small)
+    # Their texts are read once more rather than kept for both.
     single = cut(brought.where("large").mapInPandas(rows_of, "window long, _key long, low long"))
     here = F.struct("_key", "low")
     both = single.groupBy("window").agg(F.min(here).alias("_a"), F.max(here).alias("_z")).where("_a <> _z")
