@@ -93,12 +93,12 @@ def _lines(docs: DataFrame, settings: Settings) -> DataFrame:
                 second = others.min() if len(others) else np.uint64(0)
                 context = np.where(lines == low, second, low)
                 leaf = _leaves(words, counts, settings.depth)
-                out.append(pd.DataFrame({
-                    "_key": np.full(len(number), key), "no": number.astype(np.int32),
-                    "leaf": _signed(leaf[number]), "context": _signed(context[number]),
-                    "words": counts[number].astype(np.int32)}))
+                out.append((np.full(len(number), key), number, leaf[number], context[number], counts[number]))
             if out:
-                yield pd.concat(out)
+                key, number, leaf, context, counts = (np.concatenate(x) for x in zip(*out))
+                yield pd.DataFrame({
+                    "_key": key, "no": number.astype(np.int32), "leaf": _signed(leaf), "context": _signed(context),
+                    "words": counts.astype(np.int32)})
 
     return docs.select(value_key().alias("_key"), "text").mapInPandas(
         run, "_key long, no int, leaf long, context long, words int")
@@ -133,12 +133,12 @@ def drop_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
                 leaf = _leaves(words, counts, settings.depth)
                 line = of[chosen]
                 place = np.flatnonzero(chosen) - np.append(0, np.cumsum(counts)[:-1])[line]
-                out.append(pd.DataFrame({
-                    "_key": np.full(len(line), key), "no": line.astype(np.int32), "leaf": _signed(leaf[line]),
-                    "context": _signed(context[line]), "words": counts[line].astype(np.int32),
-                    "place": place.astype(np.int32), "word": _signed(words[chosen])}))
+                out.append((np.full(len(line), key), line, leaf[line], context[line], counts[line], place, words[chosen]))
             if out:
-                yield pd.concat(out)
+                key, line, leaf, context, counts, place, words = (np.concatenate(x) for x in zip(*out))
+                yield pd.DataFrame({
+                    "_key": key, "no": line.astype(np.int32), "leaf": _signed(leaf), "context": _signed(context),
+                    "words": counts.astype(np.int32), "place": place.astype(np.int32), "word": _signed(words)})
 
     texts = docs.select(value_key().alias("_key"), "text")
     spelled = cut(texts.join(wanted, "_key").mapInPandas(
