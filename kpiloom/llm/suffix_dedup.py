@@ -91,11 +91,12 @@ def _runs(docs: DataFrame, settings: Settings) -> DataFrame:
                     seen.add(key)
                 gram, context, first, last = runs(utf8(text), settings)
                 if len(gram):
-                    out.append(pd.DataFrame({
-                        "gram": gram.view(np.int64), "context": context.view(np.int64),
-                        "_key": np.full(len(gram), key), "first": first, "n": (last - first + 1).astype(np.int32)}))
+                    out.append((gram, context, np.full(len(gram), key), first, last - first + 1))
             if out:
-                yield pd.concat(out)
+                gram, context, key, first, n = (np.concatenate(x) for x in zip(*out))
+                yield pd.DataFrame({
+                    "gram": gram.view(np.int64), "context": context.view(np.int64), "_key": key, "first": first,
+                    "n": n.astype(np.int32)})
 
     return docs.select(value_key().alias("_key"), "text").mapInPandas(
         run, "gram long, context long, _key long, first long, n int")
