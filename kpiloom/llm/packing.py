@@ -37,7 +37,7 @@ class Settings:
     query_terms: int = 32
     k1: float = 1.2
     b: float = 0.75
-    cached_words: int = 600_000
+    cached_words: int = 1_200_000
 
 
 class _Words(dict):
@@ -57,10 +57,11 @@ class _Words(dict):
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.type).tobytes()
 
+    def __missing__(self, word: str) -> bytes:
+        return self.encode(word)
+
     def learn(self, words: set[str]) -> None:
         """Add unknown words: plain letters in one call, split by the tokenizer's own word numbers."""
-        if len(self) > self.cached:
-            self.clear()
         plain = sorted({w for w in words if w.isascii() and w.isalpha()} - self.keys())
         if plain:
             got = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
@@ -83,8 +84,10 @@ class _Words(dict):
         return word, ""
 
     def ids(self, texts: list[str]) -> list[bytes]:
+        if len(self) > self.cached:
+            self.clear()
         # Python splits at four control characters that the tokenizer keeps in a word.
-        odd = [any("\x1c" <= c <= "\x1f" for c in t) if not t.isprintable() and any(c in t for c in "\x1c\x1d\x1e\x1f") else False for t in texts]
+        odd = [any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]
         split = [[] if o else (t.lower() if t.isascii() else t).split() for t, o in zip(texts, odd)]
         new: set[str] = set()
         for words in split:
