@@ -176,6 +176,9 @@ def mixed(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     space behind it, in their order. ``n_chars``, if there is one, is counted again.
     """
     columns = docs.columns
+    # Extra columns travel under numbered names, whatever they are called.
+    names = [c if c in ("doc_id", "source", "text", "n_chars") else f"_extra{i}" for i, c in enumerate(columns)]
+    docs = docs.toDF(*names)
     rows = placed(docs, settings)
     per_source = cut(targets(rows, settings))
     spans = pieces(rows, per_source, settings).groupBy("doc_id", "_s", "_hash", "_copy", "round").agg(
@@ -186,13 +189,13 @@ def mixed(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     met = F.col("_id").eqNullSafe(F.col("doc_id"))
     for k in ("_source", "_text", "_number"):
         met = met & (F.col(k) == F.col(keys[k]))
-    joined = texts.join(spans, met).select(*columns, "_spans", "_words")
+    joined = texts.join(spans, met).select(*names, "_spans", "_words")
     words = F.split(F.ltrim(F.btrim("text", F.lit(SPACES))), f"(?<={SPACE_CLASS})(?={WORD_CLASS})")
     cut_words = joined.withColumn("_pieces", F.when(F.col("_words") < word_count(F.col("text")), words))
     part = F.concat_ws("", F.flatten(F.transform(
         "_spans", lambda s: F.slice(F.col("_pieces"), (s["start"] + 1).cast("int"), s["length"].cast("int")))))
     text = F.when(F.col("_pieces").isNull(), F.col("text")).otherwise(F.btrim(part, F.lit(SPACES)))
     out = without(cut_words.withColumn("text", text), "_spans", "_words", "_pieces")
-    if "n_chars" in columns:
+    if "n_chars" in names:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*columns)
+    return out.select(*names).toDF(*columns)
