@@ -47,10 +47,8 @@ class Config:
     min_dq_score: float = 80.0
     reconciliation_tolerance: float = 0.05
 
-    # physical: rows one task may sort on its own, and the fan-out of wider scans
+    # physical: rows one task may sort on its own
     single_task_rows: int = 1_000_000
-    max_scan_buckets: int = 512
-    null_key_spread: int = 256
 
     @property
     def source_label(self) -> str:

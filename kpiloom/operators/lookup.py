@@ -13,7 +13,6 @@ def lookup(
     table_key: str,
     spread_by: Column,
     values: dict[str, str],
-    spread: int = 256,
 ) -> DataFrame:
     """Add ``values`` (out -> table column) for the row's ``key``; NULL keys match nothing.
 
@@ -25,7 +24,7 @@ def lookup(
     key = key.cast(table.schema[table_key].dataType)
 
     def slot(column: Column) -> Column:
-        return F.pmod(F.xxhash64(column), F.lit(spread)).cast("int")
+        return F.xxhash64(column)
 
     keyed = rows.withColumns({
         "_key": key,

@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 from kpiloom.store import TableStore
 
 
-# A block row is a path and two numbers, so this is some 200 MB on each executor.
-_BROADCAST_BLOCKS = 1_000_000
-
-
 @dataclass(frozen=True)
 class Key:
     """One ordering column; NULLs come first ascending and last descending."""
@@ -38,7 +34,6 @@ def prefix_scan(
     sums: Mapping[str, str] | None = None,
     totals: Mapping[str, str] | None = None,
     single_task_rows: int = 1_000_000,
-    max_buckets: int = 512,
 ) -> DataFrame:
     """Add ``rank`` (1..n), running ``sums`` and whole-table ``totals`` (out -> in).
 
@@ -65,7 +60,7 @@ def prefix_scan(
     # Ranges are cut on the whole order key, so a value that dominates the first column is
     # split by the next one. They are sampled anew whenever the plan runs; writing the
     # range number with the rows pins one outcome for the passes below.
-    buckets = min(max_buckets, -(-rows // single_task_rows))
+    buckets = -(-rows // single_task_rows)
     ranged = store.cut(
         work.repartitionByRange(buckets, *by).withColumn("_bucket", F.spark_partition_id()),
         "ranges",
@@ -75,7 +70,7 @@ def prefix_scan(
     per_bucket = ranged.groupBy("_bucket").agg(
         F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(f"_sum_{c}") for c in measures]
     )
-    # At most max_buckets rows from here on: safe in one task, safe to broadcast.
+    # One row per range of single_task_rows rows from here on.
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     offsets = per_bucket.select(
@@ -92,7 +87,7 @@ def prefix_scan(
         F.row_number().over(ordered).alias("_rank"),
         *[F.sum(c).over(running).alias(f"_run_{c}") for c in sorted(set(sums.values()))],
     )
-    joined = local.join(F.broadcast(offsets), "_bucket")
+    joined = local.join(offsets, "_bucket")
 
     def plus(before_col: Column, run_col: Column) -> Column:
         # A sum over no value is NULL, in the ranges before and within the range alike.
@@ -113,7 +108,7 @@ def block_positions(
 
     ``position`` has to be consecutive inside a block. The rows themselves are not
     aggregated or sorted: one row per block (input split or written file) is. That offset
-    table is broadcast while it is small enough; beyond that the planner joins it.
+    table is joined as the planner sees fit.
     """
     sizes = df.groupBy(*blocks).agg(
         F.count(F.lit(1)).alias("_n"), F.min(position).alias("_start")
@@ -121,8 +116,6 @@ def block_positions(
     before = Window.orderBy(*blocks).rowsBetween(Window.unboundedPreceding, -1)
     shift = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_start") + 1
     offsets = store.cut(sizes.select(*blocks, shift.alias("_shift")), "offsets")
-    if offsets.count() <= _BROADCAST_BLOCKS:
-        offsets = F.broadcast(offsets)
     return (
         df.join(offsets, list(blocks))
         .withColumn(out, (F.col(position) + F.col("_shift")).cast("bigint"))

@@ -78,7 +78,6 @@ def product_period(
         sums={"_running": "net_revenue_cur"},
         totals={"_total": "net_revenue_cur"},
         single_task_rows=cfg.single_task_rows,
-        max_buckets=cfg.max_scan_buckets,
     )
     share = ratio(col("_running"), col("_total"), 2, 100.0)
     return scanned.withColumn("cumulative_revenue_share_pct", share).drop("_running", "_total")
@@ -180,7 +179,7 @@ def with_country(rows: DataFrame, customer_dim: DataFrame, cfg: Config, spread_b
     named = customer_dim.where(~F.col("is_guest"))
     key = F.when(F.col("customer_key") != cfg.guest_customer_key, F.col("customer_key"))
     found = lookup(
-        rows, named, key, "customer_key", spread_by, {"country": "country"}, cfg.null_key_spread
+        rows, named, key, "customer_key", spread_by, {"country": "country"}
     )
     return found.withColumn("country", F.coalesce("country", F.lit(UNIDENTIFIED)))
 
@@ -272,7 +271,6 @@ def customer_concentration(
         sums={"_running": "_net"},
         totals={"_total": "_net"},
         single_task_rows=cfg.single_task_rows,
-        max_buckets=cfg.max_scan_buckets,
     )
     return scanned.select(
         "customer_key", "customer_id", "country", "cohort_label",

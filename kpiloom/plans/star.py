@@ -113,7 +113,7 @@ def dim_customer(clean: DataFrame, cfg: Config, store: TableStore) -> DataFrame:
     """Customers keyed 1..n by id, their acquisition cohort, and the guest member."""
     keyed = prefix_scan(
         customers(clean), [Key("customer_id")], store, rank="customer_key",
-        single_task_rows=cfg.single_task_rows, max_buckets=cfg.max_scan_buckets,
+        single_task_rows=cfg.single_task_rows,
     )
     cohort = month_key(F.col("first_order_ts"))
     members = keyed.withColumns({
@@ -144,7 +144,7 @@ def dim_product(clean: DataFrame, cfg: Config, store: TableStore) -> DataFrame:
     )
     keyed = prefix_scan(
         described, [Key("stock_code")], store, rank="product_key",
-        single_task_rows=cfg.single_task_rows, max_buckets=cfg.max_scan_buckets,
+        single_task_rows=cfg.single_task_rows,
     )
     non_product = F.upper("stock_code").isin(*cfg.non_product_codes_upper)
     family = F.when(non_product, F.lit(NON_PRODUCT_FAMILY)).otherwise(
@@ -191,11 +191,11 @@ def fct_sales_line(
     row_id = F.col("source_row_id")
     lines = lookup(
         clean, identified, F.col("customer_id"), "customer_id", row_id,
-        {"_customer": "customer_key"}, cfg.null_key_spread,
+        {"_customer": "customer_key"},
     )
     lines = lookup(
         lines, product_dim, F.col("stock_code"), "stock_code", row_id,
-        {"_product": "product_key"}, cfg.null_key_spread,
+        {"_product": "product_key"},
     )
     orphan = F.raise_error(
         F.concat(F.lit("no product for stock code "), F.coalesce("stock_code", F.lit("NULL")))

@@ -110,7 +110,7 @@ def _apply_fix(lines: DataFrame, rule: Rule, cfg: Config, store: TableStore) ->
         # Only rows that need the repair carry a key, so a popular code causes no skew.
         found = lookup(
             lines, modes, F.when(failed, F.col("stock_code")), "stock_code",
-            F.col("source_row_id"), {"_mode": column}, cfg.null_key_spread,
+            F.col("source_row_id"), {"_mode": column},
         )
         repaired = F.coalesce(F.col("_mode"), F.lit(UNKNOWN_PRODUCT))
         return found.withColumn(

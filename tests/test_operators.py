@@ -16,7 +16,7 @@ from kpiloom.operators.prefix_scan import Key, prefix_scan
 def scanned(df, store, limit, order):
     return prefix_scan(
         df, order, store, rank="place", sums={"running": "amount"}, totals={"total": "amount"},
-        single_task_rows=limit, max_buckets=16,
+        single_task_rows=limit,
     )
 
 
