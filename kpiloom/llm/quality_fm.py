@@ -153,8 +153,10 @@ def train(vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, sett
                 w[touched] -= settings.rate * slope_w / np.sqrt(seen_w[touched])
                 v[touched] -= settings.rate * slope_v / np.sqrt(seen_v[touched])
                 bias -= settings.rate * float(error.mean())
-    elif len(labels):
-        bias = 5.0 if labels[0] else -5.0
+    else:
+        v[:] = 0.0
+        if len(labels):
+            bias = 5.0 if labels[0] else -5.0
     return Model(settings, bias, w.astype(np.float32), v.astype(np.float32))
 
 
