@@ -291,7 +291,7 @@ def test_personal_data_base_spans(documents, odd):
     parts = ["a@b.com_x@y.org", "a.b@c-d.e.f.", "@x.y", "a@b", "1.2.3.4.5.6.7.8", "300.1.1.1", "01.002.3.255", "4111 1111 1111 1111",
              "4111-1111-1111-1112", "+1 (988) 555-2485", "+12", "+49 30 1234567890", "x" * 30, "é\U0001f600", "12 34", "\n", "a@b.c@d.e.f"]
     rows = [(i, rng.choice(["", " "]).join(rng.choice(parts) for _ in range(rng.randint(0, 12)))) for i in range(1000, 1200)]
-    rows += odd + [(2000, "1" * 30000), (2001, "a" * 2000 + "@"), (2002, "1 " * 20000)]
+    rows += odd + [(2000, "1" * 3000), (2001, "a" * 2000 + "@"), (2002, "1 " * 20000)]
     want = Counter((i, hashlib.sha256(brute_spans(t).encode()).hexdigest()) for i, t in rows)
     got = personal_data.find(documents(rows, "spans")).collect()
     assert Counter((r.doc_id, r.base_sha256) for r in got) == want
