@@ -37,12 +37,14 @@ def _cmp(name: str) -> Column:
 
 
 def period_pairs(
-    frame: DataFrame, pairs: DataFrame, by: Sequence[str] = (), extra: Sequence[str] = ()
+    frame: DataFrame, pairs: DataFrame, by: Sequence[str] = (), extra: Sequence[str] = (),
+    one_sided: bool = False,
 ) -> DataFrame:
     """Rows of ``frame`` side by side: ``cur_*`` and ``cmp_*`` per pair and ``by``.
 
     ``pairs`` holds (current_month_key, comparison_month_key); any number of pairs is
-    decomposed in one equi-join.
+    decomposed in one equi-join. With ``one_sided``, a slice that only one month of a pair
+    has is kept, with NULLs on the other side.
     """
     measures = [*FACTOR_NAMES, TREE, *extra]
 
@@ -54,7 +56,11 @@ def period_pairs(
         )
 
     current = side("cur", "current_month_key").join(F.broadcast(pairs), "current_month_key")
-    return current.join(side("cmp", "comparison_month_key"), ["comparison_month_key", *by])
+    comparison = side("cmp", "comparison_month_key")
+    if not one_sided:
+        return current.join(comparison, ["comparison_month_key", *by])
+    comparison = comparison.join(F.broadcast(pairs), "comparison_month_key")
+    return current.join(comparison, ["current_month_key", "comparison_month_key", *by], "full_outer")
 
 
 def log_mean(v1: Column, v0: Column) -> Column:

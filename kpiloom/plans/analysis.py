@@ -47,7 +47,7 @@ def driver_chain(factors: DataFrame, periods: PeriodPair) -> DataFrame:
 
 
 def decomposition_by_month(factors: DataFrame) -> DataFrame:
-    """Every month against the same month of the year before."""
+    """Every month against the same month of the year before, where the data has that month."""
     pairs = period_pairs(factors, prior_year_pairs(factors))
     return lmdi(pairs, by=["current_month_key", "comparison_month_key"], strict=False)
 
@@ -72,7 +72,9 @@ def market_factors(
 
 
 def decomposition_by_market(market_frame: DataFrame, periods: PeriodPair) -> DataFrame:
-    pairs = period_pairs(market_frame, pair_keys(market_frame, periods), by=["country"])
+    """Five rows per market; one that only one period has comes out with ``is_valid`` false."""
+    keys = pair_keys(market_frame, periods)
+    pairs = period_pairs(market_frame, keys, by=["country"], one_sided=True)
     return lmdi(pairs, by=["country"], strict=False)
 
 

@@ -426,9 +426,11 @@ FROM (SELECT country, is_cur, active AS active_customers, {ratio('orders', 'acti
             FROM two t JOIN customers c ON c.customer_key = t.customer_key GROUP BY 1, 2))"""
 BASE["market_rows"] = long_factors("market_kpi", "country, is_cur")
 BASE["drivers_market"] = lmdi_sql(
-    "SELECT c.country, c.pos, c.factor, c.label, c.meaning, c.x AS x1, p.x AS x0, c.v AS v1, p.v AS v0 "
-    "FROM market_rows c JOIN market_rows p ON p.pos = c.pos AND p.country = c.country "
-    "WHERE c.is_cur AND NOT p.is_cur",
+    "SELECT coalesce(c.country, p.country) AS country, coalesce(c.pos, p.pos) AS pos, "
+    "coalesce(c.factor, p.factor) AS factor, coalesce(c.label, p.label) AS label, "
+    "coalesce(c.meaning, p.meaning) AS meaning, c.x AS x1, p.x AS x0, c.v AS v1, p.v AS v0 "
+    "FROM (SELECT * FROM market_rows WHERE is_cur) c "
+    "FULL JOIN (SELECT * FROM market_rows WHERE NOT is_cur) p ON p.pos = c.pos AND p.country = c.country",
     "country",
 )
 BASE["cur_row"] = "SELECT * FROM factors WHERE month_key = (SELECT cur FROM period)"

@@ -102,6 +102,19 @@ def test_non_positive_factor_is_rejected(spark):
     assert all(not r.is_valid and r.contribution is None and r.change_pct is None for r in lenient)
 
 
+def test_a_market_of_one_period_is_kept(spark):
+    both = monthly(spark, SMALL[:2]).withColumn("country", F.lit("France"))
+    entered = both.where("month_key = 201111").withColumn("country", F.lit("Malta"))
+    lost = both.where("month_key = 201011").withColumn("country", F.lit("Cyprus"))
+    periods = resolve_periods(monthly(spark), CFG)
+    rows = analysis.decomposition_by_market(both.union(entered).union(lost), periods).collect()
+    assert len(rows) == 15
+    assert {r.country for r in rows if r.is_valid} == {"France"}
+    assert all(r.contribution is None for r in rows if not r.is_valid)
+    assert all(r.value_current is None for r in rows if r.country == "Cyprus")
+    assert all(r.value_comparison is None for r in rows if r.country == "Malta")
+
+
 def test_equal_totals(spark):
     rows = [SMALL[0], (201111, "2011-11", *SMALL[0][2:])]
     keys, frame = pairs(spark, rows)
