@@ -46,17 +46,20 @@ def read_delimited(
 ) -> DataFrame:
     """Scan delimited files (gzip included) as strings, NA tokens read as NULL.
 
-    ``header`` names the columns when they are known; otherwise the first line does.
+    ``header`` names the columns when they are known; otherwise the first line of one file
+    does. Every file's first line is checked against these names, and a record with too few
+    or too many fields stops the job: neither can be read by position without wrong rows.
+    Files with another column order are read by a call of their own and joined by
+    ``union_sources``. Values that contain line breaks need ``multiLine=True``; a file is then
+    one split.
     The scan also carries where each line came from, so that input order can be
     restored later without a sort.
     """
     # A quote inside a quoted value is written twice.
-    reader = spark.read.option("header", True).option("escape", '"').options(**options)
-    if header:
-        # The first line is still checked against the names given.
-        reader = reader.option("enforceSchema", False)
-        reader = reader.schema(", ".join(f"`{c}` string" for c in header))
-    scan = reader.csv(path)
+    strict = {"header": True, "escape": '"', "mode": "FAILFAST", "columnPruning": False} | options
+    reader = spark.read.options(**strict)
+    names = header or reader.csv(path).columns
+    scan = reader.option("enforceSchema", False).schema(", ".join(f"`{c}` string" for c in names)).csv(path)
     columns = [na_to_null(F.col(f"`{c}`")).alias(c) for c in scan.columns]
     return spread(scan.select(
         *columns,

@@ -61,6 +61,30 @@ def test_input_order_is_kept_across_files_and_splits(spark, store, tmp_path):
     assert numbered.count() == 12000
 
 
+def test_files_with_another_column_order_are_refused(spark, tmp_path):
+    write_csv(tmp_path / "a.csv", ["1,A,X,3,2011-01-01,9,1,X"])
+    swapped = HEADER.replace("Quantity", "?").replace("Price", "Quantity").replace("?", "Price")
+    (tmp_path / "b.csv").write_text(swapped + "2,B,Y,9,2011-01-01,3,1,X\n", encoding="utf-8")
+    with pytest.raises(Exception, match="CSV header"):
+        read_delimited(spark, str(tmp_path)).collect()
+    each = {p: read_delimited(spark, str(tmp_path / p)) for p in ("a.csv", "b.csv")}
+    rows = union_sources(each).select("invoice_no", "quantity", "unit_price").collect()
+    assert sorted(map(tuple, rows)) == [("1", "3", "9"), ("2", "3", "9")]
+
+
+@pytest.mark.parametrize("line", ["2,B,Y,9,2011-01-01,3,1,X,more", "2,B,Y", '2,B,"two\nlines",9,2011-01-01,3,1,X'])
+def test_malformed_records_stop_the_scan(spark, tmp_path, line):
+    write_csv(tmp_path / "a.csv", ["1,A,X,3,2011-01-01,9,1,X", line])
+    with pytest.raises(Exception, match="MALFORMED_CSV_RECORD"):
+        read_delimited(spark, str(tmp_path)).collect()
+
+
+def test_values_with_line_breaks(spark, tmp_path):
+    write_csv(tmp_path / "a.csv", ['1,A,"two\nlines",9,2011-01-01,3,1,X', "2,B,Y,9,2011-01-01,3,1,X"])
+    rows = read_delimited(spark, str(tmp_path), multiLine=True).orderBy("Invoice").collect()
+    assert [r.Description for r in rows] == ["two\nlines", "Y"]
+
+
 def test_missing_column_is_reported(spark):
     df = spark.createDataFrame([("1",)], "Invoice string")
     with pytest.raises(ValueError, match="stock_code.*columns found: .*Invoice"):
