@@ -16,11 +16,15 @@ end id alone; repeated rows are documents of their own; an empty table gives no
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,13 +42,15 @@ class Settings:
     k1: float = 1.2
     b: float = 0.75
     cached_words: int = 1_200_000
+    slice_bytes: int = 4_000_000
 
 
 class _Words(dict):
     """Ids of white-space separated pieces of text, as bytes.
 
     The tokenizer never joins characters across white space, so the ids of a text are those
-    of its pieces. Words seen before are looked up; ``cached`` bounds what a worker keeps.
+    of its pieces. Words seen before are looked up; ``cached`` bounds what a worker keeps. It
+    lowers all letters, so A-Z are lowered first and a word has one entry.
     """
 
     def __init__(self, path: str, cached: int):
@@ -53,53 +59,60 @@ class _Words(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.cached = cached
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        # Texts with one of four control characters, at which Arrow splits and the tokenizer does
+        # not, or with a token of the tokenizer's own are encoded as a whole.
+        own = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = "(?i)" + "|".join(["[\\x1c-\\x1f]", *own])
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.type).tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        return self.encode(word)
-
-    def learn(self, words: set[str]) -> None:
-        """Add unknown words: plain letters in one call, split by the tokenizer's own word numbers."""
-        plain = sorted({w for w in words if w.isascii() and w.isalpha()} - self.keys())
-        if plain:
-            got = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
-            of = np.array(got.word_ids, dtype=np.int64)
-            ids = np.array(got.ids, dtype=self.type)
-            bounds = np.searchsorted(of, np.arange(len(plain) + 1))
-            if len(of) and of[-1] == len(plain) - 1:
-                data, width = ids.tobytes(), self.type.itemsize
-                for k, w in enumerate(plain):
-                    self[w] = data[bounds[k] * width : bounds[k + 1] * width]
+    def learn(self, words: list[str]) -> None:
+        """Add words: many in one call, the offsets of the ids tell whose they are."""
+        joint = []
         for w in words:
-            if w not in self:
+            if not w or not unicodedata.is_normalized("NFC", w) or not w.isprintable():
                 self[w] = self.encode(w)
-
-    @staticmethod
-    def core(word: str) -> tuple[str, str]:
-        """A word and the one full stop or comma behind its letters, which is a token of its own."""
-        if len(word) > 1 and word[-1] in ".," and word[-2].isascii() and word[-2].isalpha():
-            return word[:-1], word[-1]
-        return word, ""
-
-    def ids(self, texts: list[str]) -> list[bytes]:
+            else:
+                joint.append(w)
+        for at in range(0, len(joint), 4096):
+            part = joint[at : at + 4096]
+            got = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids = np.array(got.ids, dtype=self.type).tobytes()
+            ends = np.cumsum([len(w) + 1 for w in part])
+            begins = np.array([a for a, _ in got.offsets], dtype=np.int64)
+            last = np.searchsorted(begins, ends) * self.type.itemsize
+            first = 0
+            for w, z in zip(part, last.tolist()):
+                self[w] = ids[first:z]
+                first = z
+
+    def ids(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one row, each closed by ``end_id``, and where each text ends."""
         if len(self) > self.cached:
             self.clear()
-        # Python splits at four control characters that the tokenizer keeps in a word.
-        odd = [any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]
-        split = [[] if o else (t.lower() if t.isascii() else t).split() for t, o in zip(texts, odd)]
-        new: set[str] = set()
-        for words in split:
-            new.update(words)
-        new = {w for w in new if w not in self}
-        parts = {w: self.core(w) for w in new}
-        self.learn({p for pair in parts.values() for p in pair if p} )
-        for w, (a, z) in parts.items():
-            if z:
-                self[w] = self[a] + self[z]
-        get = self.__getitem__
-        return [self.encode(t) if o else b"".join(map(get, words)) for t, o, words in zip(texts, odd, split)]
+        texts = texts.fill_null("")
+        words = pc.utf8_split_whitespace(pc.ascii_lower(texts))
+        coded = words.flatten().dictionary_encode()
+        unique = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.learn([w for w in unique if w not in self])
+        held = [self[w] for w in unique]
+        width = self.type.itemsize
+        pool = np.frombuffer(b"".join(held), dtype=self.type)
+        sizes = np.fromiter(map(len, held), dtype=np.int64, count=len(held)) // width
+        at = coded.indices.to_numpy()
+        n = sizes[at]
+        until = np.cumsum(n)
+        out = pool[np.repeat((np.cumsum(sizes) - sizes)[at] - (until - n), n) + np.arange(until[-1] if len(n) else 0)]
+        bounds = words.offsets.to_numpy()
+        ends = np.append(0, until)[bounds[1:] - bounds[0]]
+        odd = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)
+        if odd.any():
+            parts = np.split(out, ends[:-1])
+            for k in np.flatnonzero(odd):
+                parts[k] = np.frombuffer(self.encode(texts[int(k)].as_py()), dtype=self.type)
+            out, ends = np.concatenate(parts), np.cumsum([len(x) for x in parts])
+        return np.insert(out, ends, end_id), ends + np.arange(1, len(ends) + 1)
 
 
 def _words(settings: Settings) -> _Words:
@@ -109,31 +122,45 @@ def _words(settings: Settings) -> _Words:
     return kept[settings.tokenizer]
 
 
-def _sketch(ids: np.ndarray) -> int:
-    if len(ids) < 2:
-        return -1
-    pairs = mix((ids[:-1].astype(np.uint64) << np.uint64(32)) | ids[1:].astype(np.uint64))
-    return int(pairs.min() >> np.uint64(1))
+def _sketches(ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The smallest hash among each text's token pairs, -1 without a pair; every text has a token."""
+    wide = ids.astype(np.uint64)
+    pairs = np.append(mix((wide[:-1] << np.uint64(32)) | wide[1:]) >> np.uint64(1), np.uint64(0))
+    pairs[ends - 1] = np.iinfo(np.uint64).max  # the pair of a text's last token and the next text's first
+    lowest = np.minimum.reduceat(pairs, np.append(0, ends[:-1]))
+    return lowest.view(np.int64)
+
+
+def _slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """Parts of the batch of about ``most`` bytes of text each."""
+    size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(size.astype(np.int64)) // most
+    first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+    for a, z in zip(first.tolist(), np.append(first[1:], len(size)).tolist()):
+        yield batch.slice(a, z - a)
 
 
 def tokenise(docs: DataFrame, settings: Settings) -> DataFrame:
     """doc_id, ids (little-endian, two bytes each if the vocabulary allows, with the end id), n, sketch."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _words(settings)
-        end = np.array([settings.end_id], dtype=words.type).tobytes()
-        for frame in frames:
-            for at in range(0, len(frame), 256):
-                part = frame.iloc[at : at + 256]
-                ids = [x + end for x in words.ids([t or "" for t in part["text"]])]
-                yield pd.DataFrame({
-                    "doc_id": part["doc_id"].to_numpy(), "ids": ids,
-                    "n": [len(x) // words.type.itemsize for x in ids],
-                    "sketch": [_sketch(np.frombuffer(x, words.type)) for x in ids],
-                })
-
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, ids binary, n long, sketch long")
+        width = words.type.itemsize
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            for part in _slices(batch, settings.slice_bytes):
+                ids, ends = words.ids(part.column("text"), settings.end_id)
+                offsets = np.append(0, ends * width).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([
+                    part.column("doc_id"),
+                    pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids)]),
+                    pa.array(np.diff(ends, prepend=0), pa.int64()),
+                    pa.array(_sketches(ids, ends), pa.int64()),
+                ], names=["doc_id", "ids", "n", "sketch"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids binary, n long, sketch long")
 
 
 class _Index:
