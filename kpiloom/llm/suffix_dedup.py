@@ -8,8 +8,9 @@ first bytes but the smallest hash among its ``gram``-byte pieces: equal windows
 digits, and one digit serves the whole run of windows around it, so the first pass moves one row
 per run (some 185 windows) in place of one per byte.
 
-1. First digit: rows (gram, context), context being the bytes of the run's windows. Equal
-   contexts of different places are repeated as a whole; a gram with one context is finished.
+1. First digit: a count of the grams finishes all runs that are alone with theirs. The others
+   become rows (gram, context), context being the bytes of the run's windows. Equal contexts of
+   different places are repeated as a whole; a gram with one context is finished.
 2. Next digits: runs whose gram has several contexts bring those bytes along and are compared
    window by window in groups of one gram.
 3. A gram with more than ``group`` different contexts is not gathered: its windows become rows of
@@ -78,7 +79,7 @@ def runs(data: bytes, settings: Settings) -> tuple[np.ndarray, ...]:
 
 
 def _runs(docs: DataFrame, settings: Settings) -> DataFrame:
-    """gram, context, _key, first, n (windows): once per text and task."""
+    """_key and arrays gram, context, first, n (windows): once per text and task."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
@@ -91,15 +92,27 @@ def _runs(docs: DataFrame, settings: Settings) -> DataFrame:
                     seen.add(key)
                 gram, context, first, last = runs(utf8(text), settings)
                 if len(gram):
-                    out.append((gram, context, np.full(len(gram), key), first, last - first + 1))
+                    out.append((
+                        key, gram.view(np.int64), context.view(np.int64), first.astype(np.int32),
+                        (last - first + 1).astype(np.int32)))
             if out:
-                gram, context, key, first, n = (np.concatenate(x) for x in zip(*out))
-                yield pd.DataFrame({
-                    "gram": gram.view(np.int64), "context": context.view(np.int64), "_key": key, "first": first,
-                    "n": n.astype(np.int32)})
+                yield pd.DataFrame(out, columns=["_key", "gram", "context", "first", "n"])
 
     return docs.select(value_key().alias("_key"), "text").mapInPandas(
-        run, "gram long, context long, _key long, first long, n int")
+        run, "_key long, gram array<long>, context array<long>, first array<int>, n array<int>")
+
+
+def _keys(docs: DataFrame) -> DataFrame:
+    """_key, _id (the smallest doc_id with this text), _copied (several rows have it)."""
+    return docs.groupBy(value_key().alias("_key")).agg(
+        F.min("doc_id").alias("_id"), (F.count(F.lit(1)) > 1).alias("_copied"))
+
+
+def _beside_texts(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """``docs`` and the rows with their text's key and id; copies of one text are spread by their ids."""
+    keyed = docs.withColumn("_text", value_key())
+    rows = rows.withColumnRenamed("_id", "_row_id")
+    return keyed.join(rows, (keyed["_text"] == rows["_key"]) & keyed["doc_id"].eqNullSafe(rows["_row_id"]), how)
 
 
 def _windows_of(settings: Settings, segment: bytes, n: int) -> np.ndarray:
@@ -118,25 +131,26 @@ def _spans_of(hits: np.ndarray, first: int, settings: Settings) -> list[tuple[in
     return [(first + int(a), first + int(z) + settings.threshold) for a, z in zip(starts, ends)]
 
 
-def spans(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def spans(docs: DataFrame, settings: Settings = Settings(), keys: DataFrame | None = None) -> DataFrame:
     """_key, low, high: byte spans of texts that are repeated in another text or place."""
-    rows = cut(_runs(docs, settings))
-    place = F.struct("_key", "first", "n")
-    contexts = cut(rows.groupBy("gram", "context").agg(F.min(place).alias("_a"), F.max(place).alias("_z")))
-    twice = contexts.where("_a <> _z").select("gram", "context")
-    whole = rows.join(twice, ["gram", "context"], "left_semi").select(
-        "_key", F.col("first").alias("low"), (F.col("first") + F.col("n") - 1 + settings.threshold).alias("high"))
+    keys = cut(_keys(docs)) if keys is None else keys
+    every = cut(_runs(docs, settings)).select("_key", F.inline(F.arrays_zip("gram", "context", "first", "n")))
+    often = every.groupBy("gram").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    rows = cut(every.join(often, "gram", "left_semi"))
+    place = F.xxhash64("_key", "first")
+    contexts = cut(rows.groupBy("gram", "context").agg(
+        (F.min(place) != F.max(place)).alias("done"),
+        *[F.first(c).alias(c) for c in ("_key", "first", "n")]))
+    whole = rows.join(contexts.where("done"), ["gram", "context"], "left_semi").select(
+        "_key", F.col("first").cast("long").alias("low"),
+        (F.col("first") + F.col("n") - 1 + settings.threshold).cast("long").alias("high"))
 
     kinds = contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("_kinds")).where("_kinds > 1")
     open_runs = contexts.join(kinds, "gram").select(
-        "gram", (F.col("_a") != F.col("_z")).alias("done"), (F.col("_kinds") > settings.group).alias("large"),
-        F.col("_a._key").alias("_key"), F.col("_a.first").alias("first"), F.col("_a.n").alias("n"))
+        "gram", "done", (F.col("_kinds") > settings.group).alias("large"), "_key", "first", "n")
     wanted = open_runs.groupBy("_key").agg(F.collect_list(F.struct("gram", "done", "large", "first", "n")).alias("_runs"))
     # One row of each text is enough; its id picks it without moving copies.
-    one = docs.groupBy(value_key().alias("_key")).agg(F.min("doc_id").alias("_id"))
-    wanted = wanted.join(one, "_key")
-    texts = docs.select("doc_id", value_key().alias("_text"), "text")
-    found = texts.join(wanted, (texts["_text"] == wanted["_key"]) & texts["doc_id"].eqNullSafe(wanted["_id"]))
+    found = _beside_texts(docs.select("doc_id", "text"), wanted.join(keys.select("_key", "_id"), "_key"), "inner")
 
     def segments(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -149,7 +163,7 @@ def spans(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
             if out:
                 yield pd.DataFrame(out, columns=["gram", "done", "large", "_key", "first", "n", "segment"])
 
-    shape = "gram long, done boolean, large boolean, _key long, first long, n int"
+    shape = "gram long, done boolean, large boolean, _key long, first int, n int"
     brought = found.select("_key", "text", "_runs").mapInPandas(segments, f"{shape}, segment binary")
 
     def compare(groups: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -207,10 +221,14 @@ def spans(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 def remove_repeated(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` with n_bytes, n_removed, n_spans, kept (binary) and kept_sha256."""
     added = ("n_bytes", "n_removed", "n_spans", "kept", "kept_sha256")
-    per_text = spans(docs, settings).groupBy("_key").agg(
-        F.collect_set(F.struct("low", "high")).alias("_spans"))
-    copies = docs.groupBy(value_key().alias("_key")).agg((F.count(F.lit(1)) > 1).alias("_copied")).where("_copied")
-    marks = per_text.join(copies, "_key", "full_outer")
+    keys = cut(_keys(docs))
+    copied = docs.select("doc_id", value_key().alias("_key")).distinct().join(
+        keys.where("_copied").select("_key"), "_key").select(
+        "_key", F.col("doc_id").alias("_id"), F.lit(True).alias("_copied"))
+    # A text of two rows goes as a whole, so only the others need their spans.
+    per_text = spans(docs, settings, keys).groupBy("_key").agg(F.collect_set(F.struct("low", "high")).alias("_spans"))
+    single = per_text.join(keys.where("NOT _copied").select("_key", "_id"), "_key")
+    marks = single.unionByName(copied, allowMissingColumns=True)
 
     @F.pandas_udf("removed long, spans long, kept binary")
     def removed(texts: pd.Series, lists: pd.Series) -> pd.DataFrame:
@@ -230,7 +248,7 @@ def remove_repeated(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         return pd.DataFrame(out, columns=["removed", "spans", "kept"])
 
     base = without(docs, *added)
-    joined = base.withColumn("_key", value_key()).join(marks, "_key", "left")
+    joined = _beside_texts(base, marks, "left")
     text = F.coalesce("text", F.lit(""))
     size = F.octet_length(text).cast("long")
     all_gone = F.coalesce("_copied", F.lit(False)) & (size >= settings.threshold)
