@@ -1,10 +1,16 @@
 """Line dedup with a log-template tree: lines of recurring templates are dropped.
 
 The tree has fixed depth: a line goes to a leaf by its word count and its first ``depth`` words,
-words with a digit standing for any such word. In a leaf, a word that recurs at its place is a
-constant and any other a variable field; the constants in their places are the line's template.
-A template with at least ``min_constant`` of its words constant is dropped from all documents
-if it recurs in at least ``min_docs`` contexts.
+words with a digit standing for any such word. In a leaf, words are constant or variable relative
+to the leaf: a word's level is how often the leaf's contexts must be halved to get down to those
+that have the word at its place, and a word with fewer than ``min_docs`` contexts is always
+variable. At each level, the words of that level or a more common one are the constants of a line
+and in their places form a template; so a line has a few nested templates, and a field whose
+values are at most half as common as the constants is left out of one of them, however large the
+corpus. Smaller templates in the same leaf are found too, except where a value of their field is
+more common at that place in another template than their own constants are. A line goes from all documents
+if one of its templates has at least ``min_constant`` of its words constant and recurs in at least
+``min_docs`` contexts.
 
 The context of a line is the smallest hash among the other lines of its text. Whole copies
 repeat contexts, boilerplate in unrelated documents does not; so copied documents, whose lines
@@ -29,7 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.llm.common import cut, mix, prefix_sums, range_hashes, utf8, value_key, without, word_bounds
@@ -104,20 +110,27 @@ def _lines(docs: DataFrame, settings: Settings) -> DataFrame:
         run, "_key long, no int, leaf long, context long, words int")
 
 
-def _recurring(rows: DataFrame, by: list[str], settings: Settings, spread: float) -> DataFrame:
-    """The ``by`` values seen in enough contexts. Two-step: each context is counted once."""
+def _recurring(rows: DataFrame, by: list[str], settings: Settings) -> DataFrame:
+    """The ``by`` values seen in enough contexts, and how many. Two-step: each context is counted once."""
     return (
         rows.groupBy(*by, "context").agg(F.count(F.lit(1)).alias("_n"))
-        .groupBy(*by).agg(F.count(F.lit(1)).alias("_contexts"), F.sum("_n").alias("_docs"))
-        .where((F.col("_contexts") >= settings.min_docs) & (F.col("_contexts") >= spread * F.col("_docs")))
-        .select(*by)
+        .groupBy(*by).agg(F.count(F.lit(1)).alias("_contexts"))
+        .where(F.col("_contexts") >= settings.min_docs)
     )
 
 
+def _levels(spelled: DataFrame, settings: Settings) -> DataFrame:
+    """leaf, place, word, level: 0 for words in all contexts of the leaf, one more for each halving."""
+    held = cut(_recurring(spelled, ["leaf", "place", "word"], settings))
+    most = held.groupBy("leaf").agg(F.max("_contexts").alias("_most"))
+    level = F.ceil(F.log2(F.col("_most") / F.col("_contexts"))).cast("int")
+    return held.join(most, "leaf").select("leaf", "place", "word", level.alias("level"))
+
+
 def drop_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` with shortened texts, plus n_lines and n_dropped; ``n_chars``, if there, is counted again."""
     lines = cut(_lines(docs, settings))
-    candidates = lines.join(_recurring(lines, ["leaf"], settings, 0.0), "leaf", "left_semi")
+    candidates = lines.join(_recurring(lines, ["leaf"], settings), "leaf", "left_semi")
     wanted = candidates.groupBy("_key").agg(F.collect_set("no").alias("_nos"))
 
     def words_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -143,13 +156,17 @@ def drop_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     texts = docs.select(value_key().alias("_key"), "text")
     spelled = cut(texts.join(wanted, "_key").mapInPandas(
         words_of, "_key long, no int, leaf long, context long, words int, place int, word long"))
-    constants = _recurring(spelled, ["leaf", "place", "word"], settings, 0.0)
+    line = ["_key", "no", "leaf", "context", "words"]
+    upward = Window.partitionBy(*line).orderBy("level").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     templates = (
-        spelled.join(constants, ["leaf", "place", "word"], "left_semi")
-        .groupBy("_key", "no", "leaf", "context", "words", "place", "word").agg(F.count(F.lit(1)).alias("_copies"))
-        .groupBy("_key", "no", "leaf", "context", "words")
-        .agg(F.bit_xor(F.xxhash64("place", "word")).alias("template"), F.count(F.lit(1)).alias("_fixed"),
+        spelled.join(_levels(spelled, settings), ["leaf", "place", "word"])
+        .groupBy(*line, "place", "word", "level").agg(F.count(F.lit(1)).alias("_copies"))
+        .repartition("_key", "no")
+        .groupBy(*line, "level")
+        .agg(F.bit_xor(F.xxhash64("place", "word")).alias("_hash"), F.count(F.lit(1)).alias("_n"),
              F.min("_copies").alias("_copies"))
+        .select(*line, F.bit_xor("_hash").over(upward).alias("template"), F.sum("_n").over(upward).alias("_fixed"),
+                F.min("_copies").over(upward).alias("_copies"))
         .where(F.col("_fixed") >= settings.min_constant * F.col("words"))
     )
     templates = cut(templates)

@@ -231,6 +231,20 @@ def test_line_templates_drop_boilerplate_only(documents, odd):
             assert (r.doc_id, r.text) in texts and r.n_dropped == 0
 
 
+@pytest.mark.parametrize("n", [300, 6000])
+def test_line_template_fields_at_two_sizes(documents, n):
+    """Two fields of 100 values, a small template in the same leaf: the same outcome at both sizes."""
+    rng = random.Random(10)
+    values = prose(rng, 400).split()[:200]
+    lines = [
+        f"this was written by {rng.choice(values[:100])} for the {rng.choice(values[100:])} of paper" for _ in range(n)]
+    lines += [f"this was written by hand on {rng.choice(values)} paper with ink" for _ in range(20)]
+    lines += [f"this was written by {prose(rng, 6)}" for _ in range(20)]
+    rows = [(i, f"{prose(rng, 9)}\n{line}") for i, line in enumerate(lines)]
+    found = {r.doc_id: r.n_dropped for r in line_templates.drop_lines(documents(rows)).collect()}
+    assert found == {i: int(i < n + 20) for i in range(n + 40)}
+
+
 def base_numbers(text):
     words = WORD.findall(text or "")
     n = len(words)
