@@ -82,6 +82,19 @@ def test_jaccard_keeps_one_of_each_group(documents, odd):
     assert sorted(i for i in ids if i is not None) == sorted(i for i, (_, c) in want.items() if i is not None and i == c)
 
 
+def test_jaccard_keeps_groups_whose_ids_do_not_tell_them_apart(documents):
+    rng = random.Random(12)
+    texts = [prose(rng, 30) for _ in range(9)]
+    near = f"{texts[0]} {prose(rng, 2)}"
+    rows = [(None, t) for t in texts[:4]] + [(None, near), (None, ""), (None, texts[1])]
+    rows += [(7, t) for t in texts[4:7]] + [(7, " "), (7, texts[5])]
+    rows += [(None, texts[7]), (9, f"{texts[7]} {prose(rng, 2)}"), (9, texts[8])]
+    got = Counter((r.doc_id, r.text) for r in jaccard_join.keep_one(documents(rows)).collect())
+    assert got[None, texts[0]] + got[None, near] == 1
+    want = [r for r in rows if r not in ((None, texts[0]), (None, near), (None, texts[7]))]
+    assert {k: n for k, n in got.items() if k not in ((None, texts[0]), (None, near))} == dict.fromkeys(want, 1)
+
+
 def test_jaccard_prefixes_share_enough():
     rng = np.random.default_rng(3)
     settings = jaccard_join.Settings()
