@@ -12,15 +12,21 @@ more common at that place in another template than their own constants are. A li
 if one of its templates has at least ``min_constant`` of its words constant and recurs in at least
 ``min_docs`` contexts.
 
-The context of a line is the smallest hash among the other lines of its text. Whole copies
-repeat contexts, boilerplate in unrelated documents does not; so copied documents, whose lines
-always come together, keep them: a template needs contexts for at least ``min_spread`` of the
-documents that it occurs in.
+The context of a line is what the rest of its text stands on, apart from the lines of its own leaf.
+The other lines are put in bands by how many distinct texts have their leaf (1, 2-3, 4-7, ...), and
+words are summed from the rarest band on; the band where the sum reaches ``own_share`` of the other
+words counts. In the first band that is the text itself: it has that much of its own, so it is a
+document apart however many common lines it holds. In any other band it is the smallest hash of
+the band's lines, which copies of one document share, while lines of commoner bands have no say.
+So texts with less than ``own_share`` of their own count as copies of what they share, and copied
+documents, whose lines always come together, keep them: a template needs contexts for at least
+``min_spread`` of the documents that it occurs in.
 
 All decisions belong to line contents, hence to texts: rows with equal texts share them through
-a text hash. One scan computes leaves and contexts with array operations per text; only the
-lines of recurring leaves are looked at word by word. Every count is a two-step aggregate, so
-one very common line is combined before any shuffle.
+a text hash. One scan computes leaves with array operations per text; only leaves of two or more
+texts are brought together again for each text, and only the lines of recurring leaves are looked
+at word by word. Every count is a two-step aggregate, so one very common line is combined before
+any shuffle.
 
 Defined results: NULL stays NULL; lines of fewer than ``min_words`` words are kept; the rest of
 a text keeps its lines in order, joined by line breaks; a text may become empty; repeated rows
@@ -49,6 +55,7 @@ class Settings:
     min_words: int = 3
     min_docs: int = 10
     min_spread: float = 0.5
+    own_share: float = 0.25
     min_constant: float = 0.7
 
 
@@ -83,31 +90,77 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def _lines(docs: DataFrame, settings: Settings) -> DataFrame:
-    """_key (text hash), no, leaf, context, words: one row per line long enough to count."""
+    """_key (text hash), leaf, words, total: one row per document and leaf; words of its lines and of all lines.
+
+    ``words`` is negative where the lines are too short to be dropped.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
             for key, text in zip(frame["_key"], frame["text"]):
-                words, _, counts, lines = _parse(utf8(text))
-                number = np.flatnonzero(counts >= settings.min_words)
-                if not len(number):
-                    continue
-                filled = lines[counts > 0]
-                low = filled.min()
-                others = filled[filled != low]
-                second = others.min() if len(others) else np.uint64(0)
-                context = np.where(lines == low, second, low)
-                leaf = _leaves(words, counts, settings.depth)
-                out.append((np.full(len(number), key), number, leaf[number], context[number], counts[number]))
+                words, _, counts, _ = _parse(utf8(text))
+                filled = counts > 0
+                leaf, first, times = np.unique(
+                    _leaves(words, counts, settings.depth)[filled], return_index=True, return_counts=True)
+                size = counts[filled][first]
+                mass = np.where(size < settings.min_words, -size, size) * times
+                out.append((np.full(len(leaf), key), leaf, mass, np.full(len(leaf), len(words))))
             if out:
-                key, number, leaf, context, counts = (np.concatenate(x) for x in zip(*out))
+                key, leaf, mass, total = (np.concatenate(x) for x in zip(*out))
                 yield pd.DataFrame({
-                    "_key": key, "no": number.astype(np.int32), "leaf": _signed(leaf), "context": _signed(context),
-                    "words": counts.astype(np.int32)})
+                    "_key": key, "leaf": _signed(leaf), "words": mass.astype(np.int32), "total": total.astype(np.int32)})
 
     return docs.select(value_key().alias("_key"), "text").mapInPandas(
-        run, "_key long, no int, leaf long, context long, words int")
+        run, "_key long, leaf long, words int, total int")
+
+
+def contexts(
+    key: int, leaf: np.ndarray, words: np.ndarray, texts: np.ndarray, total: int, own_share: float
+) -> np.ndarray:
+    """The context of each leaf of a text that other texts have too; ``texts``: how many have it."""
+    band = np.frexp(texts.astype(np.float64))[1] - 1
+    n = int(band.max()) + 1
+    mass = np.bincount(band, weights=words, minlength=n)
+    mass[0] = total - words.sum()
+    order = np.lexsort((leaf, band))
+    at = np.searchsorted(band[order], np.arange(n))
+    lowest = leaf[order[np.minimum(at, len(leaf) - 1)]]
+    second = leaf[order[np.minimum(at + 1, len(leaf) - 1)]]
+    out = np.empty(len(leaf), dtype=leaf.dtype)
+    for own in range(n):
+        mine = np.flatnonzero(band == own)
+        sums = np.cumsum(mass)[None, :] - words[mine][:, None] * (np.arange(n) >= own)
+        rest = total - words[mine]
+        found = np.argmax((sums > 0) & (sums >= own_share * rest[:, None]), axis=1)
+        low = np.where(lowest[found] == leaf[mine], second[found], lowest[found])
+        out[mine] = np.where(rest == 0, 0, np.where(found == 0, key, low))
+    return out
+
+
+def _placed(lines: DataFrame, settings: Settings) -> DataFrame:
+    """_key, leaf, context, _copies: the leaves of ``min_docs`` texts or more in each text, and its documents."""
+    by_text = cut(lines.groupBy("_key", "leaf", "words", "total").agg(F.count(F.lit(1)).alias("_copies")))
+    shared = by_text.groupBy("leaf").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
+    of_text = (
+        by_text.join(shared, "leaf").groupBy("_key", "total", "_copies")
+        .agg(F.collect_list(F.struct("leaf", "words", "texts")).alias("_lines"))
+        .where(F.exists("_lines", lambda x: (x["texts"] >= settings.min_docs) & (x["words"] > 0)))
+        .select("_key", "total", "_copies", F.col("_lines.leaf").alias("leaf"), F.col("_lines.words").alias("words"),
+                F.col("_lines.texts").alias("texts")))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for key, total, copies, leaf, words, texts in frame.itertuples(index=False):
+                found = contexts(key, leaf, np.abs(words), texts, total, settings.own_share)
+                keep = (texts >= settings.min_docs) & (words > 0)
+                n = int(keep.sum())
+                out.append((np.full(n, key), leaf[keep], found[keep], np.full(n, copies)))
+            if out:
+                yield pd.DataFrame(dict(zip(("_key", "leaf", "context", "_copies"), (np.concatenate(x) for x in zip(*out)))))
+
+    return of_text.mapInPandas(run, "_key long, leaf long, context long, _copies long")
 
 
 def _recurring(rows: DataFrame, by: list[str], settings: Settings) -> DataFrame:
@@ -129,28 +182,30 @@ def _levels(spelled: DataFrame, settings: Settings) -> DataFrame:
 
 def drop_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` with shortened texts, plus n_lines and n_dropped; ``n_chars``, if there, is counted again."""
-    lines = cut(_lines(docs, settings))
-    candidates = lines.join(_recurring(lines, ["leaf"], settings), "leaf", "left_semi")
-    wanted = candidates.groupBy("_key").agg(F.collect_set("no").alias("_nos"))
+    placed = cut(_placed(_lines(docs, settings), settings))
+    wanted = (
+        placed.join(_recurring(placed, ["leaf"], settings).select("leaf"), "leaf", "left_semi")
+        .groupBy("_key").agg(F.collect_list(F.struct("leaf", "context")).alias("_of"))
+        .select("_key", F.col("_of.leaf").alias("_leaves"), F.col("_of.context").alias("_contexts"))
+    )
 
     def words_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for key, text, nos in zip(frame["_key"], frame["text"], frame["_nos"]):
-                words, of, counts, lines = _parse(utf8(text))
-                chosen = np.isin(of, nos)
-                filled = lines[counts > 0]
-                low = filled.min()
-                others = filled[filled != low]
-                context = np.where(lines == low, others.min() if len(others) else np.uint64(0), low)
-                leaf = _leaves(words, counts, settings.depth)
+            for key, text, leaves, found in zip(frame["_key"], frame["text"], frame["_leaves"], frame["_contexts"]):
+                words, of, counts, _ = _parse(utf8(text))
+                order = np.argsort(leaves)
+                leaves, found = leaves[order], found[order]
+                leaf = _signed(_leaves(words, counts, settings.depth))
+                at = np.minimum(np.searchsorted(leaves, leaf), len(leaves) - 1)
+                chosen = ((leaves[at] == leaf) & (counts > 0))[of]
                 line = of[chosen]
                 place = np.flatnonzero(chosen) - np.append(0, np.cumsum(counts)[:-1])[line]
-                out.append((np.full(len(line), key), line, leaf[line], context[line], counts[line], place, words[chosen]))
+                out.append((np.full(len(line), key), line, leaf[line], found[at[line]], counts[line], place, words[chosen]))
             if out:
                 key, line, leaf, context, counts, place, words = (np.concatenate(x) for x in zip(*out))
                 yield pd.DataFrame({
-                    "_key": key, "no": line.astype(np.int32), "leaf": _signed(leaf), "context": _signed(context),
+                    "_key": key, "no": line.astype(np.int32), "leaf": leaf, "context": context,
                     "words": counts.astype(np.int32), "place": place.astype(np.int32), "word": _signed(words)})
 
     texts = docs.select(value_key().alias("_key"), "text")

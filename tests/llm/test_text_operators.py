@@ -258,6 +258,22 @@ def test_line_template_fields_at_two_sizes(documents, n):
     assert found == {i: int(i < n + 20) for i in range(n + 40)}
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_line_templates_of_texts_that_share_several_lines(documents, seed):
+    """Short unrelated texts with the same lines lose them; near copies with a line of their own keep theirs."""
+    rng = random.Random(seed)
+    common = [prose(rng, 1), prose(rng, 6), prose(rng, 7), prose(rng, 5)]
+    copied = [prose(rng, 10) for _ in range(5)]
+    rows = [(i, "\n".join([prose(rng, 11), *common])) for i in range(40)]
+    rows += [(i, "\n".join([*copied, prose(rng, 4)])) for i in range(100, 140)]
+    found = {r.doc_id: r for r in line_templates.drop_lines(documents(rows)).collect()}
+    for i, text in rows:
+        if i < 40:
+            assert found[i].n_dropped == 3 and found[i].text == "\n".join(text.split("\n")[:2])
+        else:
+            assert found[i].n_dropped == 0 and found[i].text == text
+
+
 def base_numbers(text):
     words = WORD.findall(text or "")
     n = len(words)
