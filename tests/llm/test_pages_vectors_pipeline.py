@@ -51,6 +51,29 @@ def test_equivalence_classes():
     assert page_templates.classes(vectors, 3, page_templates.Settings()) == {"a", "b"}
 
 
+def test_all_sections_of_pages_without_article():
+    rng = random.Random(4)
+    words = [[" ".join(str(rng.random()) for _ in range(n)) for n in (3, 20)] for _ in range(8)]
+    pages = [
+        f"<body><div id=top>Our site</div><div id=lead><p>{a}</p></div><div id=body><p>{b}</p></div><nav>Go</nav></body>"
+        for a, b in words]
+    assert page_templates.extract(pages) == [f"{a} {b}" for a, b in words]
+    assert page_templates.extract(pages[:1]) == [f"Our site {words[0][0]} {words[0][1]}"]
+
+
+@pytest.mark.parametrize("body", ["article", "div"])
+def test_copied_pages_are_no_template(body):
+    rng = random.Random(5)
+    text = [" ".join(str(rng.random()) for _ in range(10)) for _ in range(4)]
+    page = "<body><nav>{0}</nav><{1}><p>{2}</p><p>{3}</p></{1}></body>"
+    same = [page.format(k, body, " ".join(text[:2]), " ".join(text[2:])) for k in range(40)]
+    edited = [page.format(k, body, " ".join(text), f"edition {k}") for k in range(6)]
+    assert page_templates.extract(same) == [" ".join(text)] * 40
+    assert page_templates.extract(edited) == [f"{' '.join(text)} edition {k}" for k in range(6)]
+    other = page.format(0, body, "something else", "here")
+    assert page_templates.extract([*same, other])[-1] == "something else here"
+
+
 def brute_top_k(ids, vectors, k=5):
     scaled = np.floor(np.array(vectors, dtype=float) * 256).astype(np.int64)
     out = set()
