@@ -51,6 +51,14 @@ def test_equivalence_classes():
     assert page_templates.classes(vectors, 3, page_templates.Settings()) == {"a", "b"}
 
 
+@pytest.mark.parametrize("body", ["article", "main", "div"])
+def test_unnamed_template_inside_the_article(body):
+    rng = random.Random(3)
+    own = [" ".join(str(rng.random()) for _ in range(20)) for _ in range(9)]
+    pages = [f"<body><{body}><div class=x1>Read our offers</div><p>{t}</p><div><p>By the desk</p></div></{body}></body>" for t in own]
+    assert page_templates.extract(pages) == own
+
+
 def test_all_sections_of_pages_without_article():
     rng = random.Random(4)
     words = [[" ".join(str(rng.random()) for _ in range(n)) for n in (3, 20)] for _ in range(8)]
