@@ -1,4 +1,4 @@
-"""Every registered query against its independent SQL statement."""
+"""Every registered query of the core against its independent SQL statement."""
 
 import glob
 import math
@@ -8,10 +8,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entrypoint
+from kpiloom.plans import catalog
+from oracle import statements
 from tests.conftest import SF_DIR
 
-QUERIES = entrypoint.queries()
-STATEMENTS = entrypoint.oracle_sql()
+QUERIES = catalog.registered()
+STATEMENTS = statements()
 
 
 @pytest.fixture(scope="module")
@@ -40,6 +42,8 @@ def multiset(columns, rows):
 
 def test_every_query_has_a_statement():
     assert set(QUERIES) == set(STATEMENTS)
+    assert set(QUERIES) <= set(entrypoint.queries())
+    assert set(STATEMENTS) <= set(entrypoint.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
