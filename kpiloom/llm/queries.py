@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.llm import (
-    ball_tree, decision_list, jaccard_join, line_templates, mixing, packing, page_templates, personal_data, quality_fm,
-    suffix_dedup,
+    ball_tree, decision_list, jaccard_join, line_templates, mixing, packing, page_templates, periodic_runs,
+    personal_data, quality_fm, suffix_dedup,
 )
-from kpiloom.llm.common import table
+from kpiloom.llm.common import WORD_CLASS, table, without
 
 
 #: Each query vector against every other row, ranked.
@@ -91,6 +91,38 @@ def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_templates.drop_lines(docs).select("doc_id", "n_lines", "n_dropped", "text")
 
 
+def repeated_ends(docs: DataFrame) -> DataFrame:
+    """Documents of which a tenth, picked by a checksum of the id, end in copies of a passage.
+
+    Such a text becomes its words, joined by one space: the first ``a``, then the ``p`` words after
+    them again and again up to the old number of words.
+    """
+    own = without(docs, "_words", "_h")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    picked = own.withColumn("_h", h).withColumn(
+        "_words", F.when(F.col("_h") % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD_CLASS}+)"), 1)))
+    n, g = F.size("_words").cast("bigint"), F.expr("_h div 10")
+    sized = picked.withColumn("_n", n).withColumn("_a", F.when(F.col("_n") > 0, g % F.col("_n")))
+    sized = sized.withColumn("_p", F.expr("cast(1 + (_n - _a) div (3 + (_h div 10) % 8) as int)"))
+    a, copies = F.col("_a").cast("int"), F.expr("cast((_n - _a) div _p + 1 as int)")
+    tail = F.flatten(F.array_repeat(F.slice("_words", a + 1, F.col("_p")), copies))
+    rebuilt = F.concat(
+        F.slice("_words", F.lit(1), a), F.slice(tail, F.lit(1), (F.col("_n") - F.col("_a")).cast("int")))
+    text = F.when(F.col("_n") > 0, F.array_join(rebuilt, " ")).otherwise(F.col("text"))
+    return sized.withColumn("text", text).drop("_words", "_h", "_n", "_a", "_p")
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = repeated_ends(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.find(docs).withColumn("_best", periodic_runs.greatest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise(F.lit(""))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "_best.start", "_best.length", "_best.period",
+        F.expr("1000 * _best.length div _best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -103,6 +135,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_page_templates": op8_page_templates,
         "op9_mixing": op9_mixing,
         "op10_line_templates": op10_line_templates,
+        "op11_periodic_runs": op11_periodic_runs,
     }
 
 
