@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.llm import (
-    ball_tree, decision_list, jaccard_join, line_templates, mixing, packing, page_templates, periodic_runs,
-    personal_data, quality_fm, suffix_dedup,
+    ball_tree, decision_list, host_reputation, jaccard_join, line_templates, mixing, packing, page_templates,
+    periodic_runs, personal_data, quality_fm, suffix_dedup,
 )
 from kpiloom.llm.common import WORD_CLASS, table, without
 
@@ -32,6 +32,84 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+def _line_sql(lines: str) -> str:
+    even = f"list_transform({lines}, lambda x: trim(regexp_replace(x, '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' '))"
+    return f"list_distinct(list_filter({even}, lambda x: len(string_split(x, ' ')) >= 8))"
+
+
+def _decoded_sql(text: str) -> str:
+    for reference, char in host_reputation.REFERENCES:
+        text = f"replace({text}, '{reference}', '{char.replace(chr(39), 2 * chr(39))}')"
+    return text
+
+
+def _level_sql(children: str, keys: str) -> str:
+    """Prior weight by moments and posterior mean for children with n, k and the mean above."""
+    return f"""
+  SELECT {keys}, n, k, weight, (k + weight * above) / (n + weight) AS mean
+  FROM {children}, (
+    SELECT (1 - held) / held AS weight FROM (
+      SELECT least(greatest(coalesce(sum((k - n * above) * (k - n * above) - n * above * (1 - above))
+               / nullif(sum(n * (n - 1) * above * (1 - above)), 0), 1 / 1001.0::DOUBLE), 1 / 1001.0::DOUBLE), 0.5::DOUBLE) AS held
+      FROM {children}))"""
+
+
+_BLOCKS = "regexp_split_to_array(regexp_replace(html, '{hidden}', ' ', 'g'), '<[^>]*>')".format(
+    hidden=host_reputation.HIDDEN)
+_AS_IS = "regexp_matches(host, '^[0-9.]*$|^\\[')"
+_NAME = "regexp_extract(host, '(?s)^(?:.*@)?([^:]*)', 1)"
+
+#: Rules, and the shrunk reputation of the host where no rule fits.
+REPUTATION = f"""
+WITH parts AS (
+  SELECT page_id, url, html, regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+  FROM pages
+), judged AS (
+  SELECT doc_id, min(CASE WHEN quality = 1 AND coalesce(toxic, 0) = 0 THEN 1 ELSE 0 END) AS good
+  FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY 1
+), telling AS (
+  SELECT line, min(good) AS good
+  FROM (SELECT unnest({_line_sql("string_split(text, chr(10))")}) AS line, good FROM documents JOIN judged USING (doc_id))
+  GROUP BY line HAVING min(good) = max(good)
+), shown AS (
+  SELECT host, url, html, unnest({_line_sql(f"list_transform({_BLOCKS}, lambda x: {_decoded_sql('x')})")}) AS line
+  FROM (SELECT DISTINCT host, url, html FROM parts)
+), outcomes AS (
+  SELECT host, 2 * sum(good) >= count(*) AS good FROM shown JOIN telling USING (line) GROUP BY host, url, html
+), hosts AS (
+  SELECT host, CAST(coalesce(n, 0) AS DOUBLE) AS n, CAST(coalesce(k, 0) AS DOUBLE) AS k,
+         CASE WHEN {_AS_IS} THEN host ELSE regexp_extract({_NAME}, '{host_reputation.DOMAIN_PATTERN}', 1) END AS domain,
+         CASE WHEN {_AS_IS} THEN '' ELSE regexp_extract({_NAME}, '{host_reputation.SUFFIX_PATTERN}', 1) END AS suffix
+  FROM (SELECT DISTINCT host FROM parts)
+  LEFT JOIN (SELECT host, count(*) AS n, count(*) FILTER (good) AS k FROM outcomes GROUP BY host) USING (host)
+), whole AS (SELECT (sum(k) + 1) / (sum(n) + 2) AS above FROM hosts),
+top AS (SELECT suffix, sum(n) AS n, sum(k) AS k, any_value(above) AS above FROM hosts, whole GROUP BY suffix),
+suffixes AS ({_level_sql("top", "suffix")}),
+middle AS (
+  SELECT h.suffix, h.domain, sum(h.n) AS n, sum(h.k) AS k, any_value(s.mean) AS above
+  FROM hosts h JOIN suffixes s USING (suffix) GROUP BY ALL),
+domains AS ({_level_sql("middle", "suffix, domain")}),
+low AS (SELECT h.host, h.n, h.k, d.mean AS above FROM hosts h JOIN domains d USING (suffix, domain)),
+known AS (
+  SELECT host, mean - 1.645::DOUBLE * sqrt(mean * (1 - mean) / (n + weight + 1)) AS bound
+  FROM ({_level_sql("low", "host")})
+), ruled AS (
+  SELECT *, CASE WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+                 WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+                 WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+                 WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+                 WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule
+  FROM parts
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN bound >= 0.5 THEN 'allow' ELSE 'block' END AS verdict
+FROM ruled LEFT JOIN known USING (host)
+"""
+
+
 def tokenizer(name: str = "word_bpe_49k.json") -> str:
     """Path of a public tokenizer; the operators take it as a parameter."""
     import public_tokenizers
@@ -123,6 +201,21 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+# The rules of the url filter.
+URL_RULES = (
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+    ("block", "net/es/"), ("block", "net/fr/"),
+)
+
+
+def op12_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    outcomes = host_reputation.page_outcomes(
+        pages, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    rules = [host_reputation.Rule(*r) for r in URL_RULES]
+    return host_reputation.judge(pages.select("page_id", "url"), rules, outcomes).drop("url")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -136,9 +229,10 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_mixing": op9_mixing,
         "op10_line_templates": op10_line_templates,
         "op11_periodic_runs": op11_periodic_runs,
+        "op12_host_reputation": op12_host_reputation,
     }
 
 
 def statements() -> dict[str, str]:
     """SQL for the queries that SQL can express."""
-    return {"op6_ball_tree": TOP_K}
+    return {"op6_ball_tree": TOP_K, "op12_host_reputation": REPUTATION}
