@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.llm import (
     ball_tree, decision_list, host_reputation, jaccard_join, line_templates, mixing, packing, page_templates,
-    periodic_runs, personal_data, quality_fm, suffix_dedup,
+    periodic_runs, personal_data, prefix_trie, quality_fm, suffix_dedup,
 )
 from kpiloom.llm.common import WORD_CLASS, table, without
 
@@ -216,6 +216,32 @@ def op12_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_reputation.judge(pages.select("page_id", "url"), rules, outcomes).drop("url")
 
 
+def regrown(conversations: DataFrame) -> DataFrame:
+    """Sequences of the conversations, each of which starts with the first turns of its group's first.
+
+    Conversation c opens with h turns of conversation c - c mod 5 and goes on with its own turns
+    after its first h. A group's turns meet in one shuffle.
+    """
+    one = prefix_trie.turn(F.col("turn"), F.col("role"), F.col("text"))
+    group = conversations.where("conv_id is not null").select(
+        (F.col("conv_id") - F.pmod("conv_id", F.lit(5))).alias("_base"), F.struct("conv_id", one.alias("turn")).alias("_one"))
+    held = group.groupBy("_base").agg(F.sort_array(F.collect_list("_one")).alias("_all"))
+    each = held.select("_base", "_all", F.explode(F.array_distinct(F.transform("_all", lambda t: t["conv_id"]))).alias("conv_id"))
+
+    def of(conv: str):
+        return F.transform(F.filter("_all", lambda t: t["conv_id"] == F.col(conv)), lambda t: t["turn"])
+
+    h = (F.crc32(F.col("conv_id").cast("string")) % 9).cast("int")
+    parts = each.select("conv_id", h.alias("_h"), of("_base").alias("_first"), of("conv_id").alias("_own"))
+    turns = F.concat(
+        F.slice("_first", F.lit(1), F.col("_h")), F.slice("_own", F.col("_h") + 1, F.size("_own")))
+    return parts.select("conv_id", turns.alias("_turns")).select("conv_id", *prefix_trie.as_sequence(F.col("_turns")))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.nodes(regrown(table(spark, sf_dir, "conversations")))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -230,6 +256,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_line_templates": op10_line_templates,
         "op11_periodic_runs": op11_periodic_runs,
         "op12_host_reputation": op12_host_reputation,
+        "op13_prefix_trie": op13_prefix_trie,
     }
 
 
