@@ -139,11 +139,13 @@ def page_outcomes(
         told.select(F.explode("_keys").alias("_line"), "_good").groupBy("_line")
         .agg(F.min("_good").alias("_good"), F.max("_good").alias("_most")).where("_good = _most").drop("_most"))
     blocks = F.transform(F.split(F.regexp_replace("html", HIDDEN, " "), TAG), lambda x: _decoded(x))
-    shown = pages.select(
+    shown = stored(pages.select(
         url_parts(F.col("url"))["host"].alias("host"), F.xxhash64("url", "html").alias("_page"),
-        F.explode(_line_keys(blocks, least)).alias("_line"))
+        F.explode(_line_keys(blocks, least)).alias("_line")))
+    # A line that very many pages show is one row here; what is left is small or joined as AQE splits it.
+    found = stored(shown.select("_line").distinct().join(telling, "_line"))
     return (
-        shown.join(telling, "_line").groupBy("_page")
+        shown.join(found, "_line").groupBy("_page")
         .agg(F.min("host").alias("host"), (2 * F.sum("_good") >= F.count(F.lit(1))).alias("good"))
         .select("host", "good"))
 
