@@ -13,7 +13,6 @@ import tempfile
 import time
 from pathlib import Path
 
-from kpiloom.config import Config
 from kpiloom.plans import analysis, star
 from kpiloom.plans.warehouse import Warehouse, run
 from kpiloom.session import build_session
@@ -44,8 +43,7 @@ def main() -> None:
     def drain(df) -> None:
         df.write.format("noop").mode("overwrite").save()
 
-    # The check profile scans in many small ranges; the benchmark uses the default size.
-    cfg = PROFILE.with_(single_task_rows=Config.single_task_rows)
+    cfg = PROFILE
     done: list[Warehouse] = []
     with tempfile.TemporaryDirectory(prefix="bench-") as out:
         timed("refresh", lambda: done.append(run(raw_lines(spark, sf_dir), cfg, out)))

@@ -1,7 +1,8 @@
 """Global rank and running sums without a single-task sort.
 
-A window that is ordered but not partitioned runs in one task. ``prefix_scan`` splits
-the order into value ranges, scans each range on its own, and adds what precedes it.
+A window that is ordered but not partitioned runs in one task. ``prefix_scan`` writes the table
+in order, one range of the order per task; the rank of a row is its position in its file plus the
+rows of the files before. The way is the same for ten rows and for ten billion.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiloom.store import TableStore
+from kpiloom.store import PLACE, TableStore
 
 
 @dataclass(frozen=True)
@@ -33,69 +34,44 @@ def prefix_scan(
     rank: str | None = None,
     sums: Mapping[str, str] | None = None,
     totals: Mapping[str, str] | None = None,
-    single_task_rows: int = 1_000_000,
 ) -> DataFrame:
     """Add ``rank`` (1..n), running ``sums`` and whole-table ``totals`` (out -> in).
 
-    ``order`` must be a total order. The input is written once, because several passes
-    read it; up to ``single_task_rows`` rows the ordinary window is used.
+    ``order`` must be a total order, or rows that it does not tell apart must be interchangeable.
+    Ranges are cut on the whole key, so a value that dominates the first column is split by the
+    next one. A rank costs the one shuffle of the sort. Running sums add up inside the written
+    ranges, which the planner can only reach by a second shuffle, on the number of the file.
     """
     sums, totals = dict(sums or {}), dict(totals or {})
-    work = store.cut(df, "scan")
-    rows = work.count()
-    by = [k.column() for k in order]
-
-    if rows <= single_task_rows:
-        ordered = Window.orderBy(*by)
-        running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        whole = Window.partitionBy()
-        out = work.select(
-            "*",
-            *([F.row_number().over(ordered).cast("bigint").alias(rank)] if rank else []),
-            *[F.sum(c).over(running).alias(name) for name, c in sums.items()],
-            *[F.sum(c).over(whole).alias(name) for name, c in totals.items()],
-        )
-        return out
-
-    # Ranges are cut on the whole order key, so a value that dominates the first column is
-    # split by the next one. They are sampled anew whenever the plan runs; writing the
-    # range number with the rows pins one outcome for the passes below.
-    buckets = -(-rows // single_task_rows)
-    ranged = store.cut(
-        work.repartitionByRange(buckets, *by).withColumn("_bucket", F.spark_partition_id()),
-        "ranges",
-    )
-
     measures = sorted({*sums.values(), *totals.values()})
-    per_bucket = ranged.groupBy("_bucket").agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(f"_sum_{c}") for c in measures]
-    )
-    # One row per range of single_task_rows rows from here on.
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    placed = store.cut_sorted(df, [k.column() for k in order])
+
+    # One row per written file from here to ``offsets``: as many as the sort has tasks.
+    files = placed.groupBy(*PLACE[:2]).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_sum_{c}") for c in measures])
+    before = Window.orderBy(*PLACE[:2]).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
-    offsets = per_bucket.select(
-        "_bucket",
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
+    offsets = store.cut(files.select(
+        *PLACE[:2],
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_rows_before"),
         *[F.sum(f"_sum_{c}").over(before).alias(f"_before_{c}") for c in measures],
         *[F.sum(f"_sum_{c}").over(everything).alias(f"_all_{c}") for c in measures],
-    )
+    ), "offsets")
 
-    ordered = Window.partitionBy("_bucket").orderBy(*by)
-    running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.select(
-        "*",
-        F.row_number().over(ordered).alias("_rank"),
-        *[F.sum(c).over(running).alias(f"_run_{c}") for c in sorted(set(sums.values()))],
-    )
-    joined = local.join(offsets, "_bucket")
+    if sums:
+        inside = Window.partitionBy(*PLACE[:2]).orderBy(PLACE[2])
+        running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        placed = placed.select(
+            "*", *[F.sum(c).over(running).alias(f"_run_{c}") for c in sorted(set(sums.values()))])
+    joined = placed.join(F.broadcast(offsets), list(PLACE[:2]))
 
     def plus(before_col: Column, run_col: Column) -> Column:
         # A sum over no value is NULL, in the ranges before and within the range alike.
         return F.coalesce(before_col + run_col, before_col, run_col)
 
     return joined.select(
-        *[F.col(c) for c in work.columns],
-        *([(F.col("_rank") + F.col("_rows_before")).cast("bigint").alias(rank)] if rank else []),
+        *[F.col(c) for c in df.columns],
+        *([(F.col("_rows_before") + F.col(PLACE[2]) + 1).cast("bigint").alias(rank)] if rank else []),
         *[plus(F.col(f"_before_{c}"), F.col(f"_run_{c}")).alias(n) for n, c in sums.items()],
         *[F.col(f"_all_{c}").alias(n) for n, c in totals.items()],
     )
@@ -121,3 +97,33 @@ def block_positions(
         .withColumn(out, (F.col(position) + F.col("_shift")).cast("bigint"))
         .drop("_shift")
     )
+
+
+#: Consecutive ids that one task counts through.
+ID_BLOCK = 1 << 16
+
+
+def id_block(ids: str) -> Column:
+    return F.floor((F.col(ids) - 1) / ID_BLOCK).cast("bigint")
+
+
+def place_in_block(df: DataFrame, ids: str, counted: Column, out: str) -> DataFrame:
+    """Number the ``counted`` rows inside their block of dense ``ids``; NULL for the others.
+
+    Blocks are equal by construction, so no key is hot; with ``block_rank`` the numbers
+    become a rank over the whole table.
+    """
+    inside = Window.partitionBy("_block").orderBy(ids)
+    number = F.sum(counted.cast("int")).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return df.withColumn("_block", id_block(ids)).withColumn(out, F.when(counted, number)).drop("_block")
+
+
+def block_rank(df: DataFrame, ids: str, place: str, out: str, store: TableStore) -> DataFrame:
+    """Rank 1..n of rows that ``place_in_block`` numbered; the table must be written."""
+    sizes = df.groupBy(id_block(ids).alias("_block")).agg(F.count(F.lit(1)).alias("_n"))
+    until = prefix_scan(sizes, [Key("_block")], store, sums={"_until": "_n"})
+    offsets = store.cut(until.select("_block", (F.col("_until") - F.col("_n")).alias("_before")), "offsets")
+    return (
+        df.withColumn("_block", id_block(ids)).join(offsets, "_block")
+        .withColumn(out, (F.col("_before") + F.col(place)).cast("bigint")).drop("_block", "_before")
+    )

@@ -10,12 +10,16 @@ from __future__ import annotations
 import itertools
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+#: Where a row of a table written in order stands: range of the order, file, row in the file.
+PLACE = ("_range", "_file", "_row")
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by the cluster; a fresh temporary one only in local mode."""
@@ -37,17 +41,28 @@ def _local_folder() -> str:
     return _LOCAL[0]
 
 
+def delete(spark: SparkSession, folder: str) -> None:
+    """Delete a folder on the file system it lives on; a missing one is fine."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 class TableStore:
-    """Named Parquet tables under one folder, each written once per refresh."""
+    """Named Parquet tables under one folder, each written once per refresh.
+
+    Intermediate results have a folder of their own in the shared folder; ``drop_work`` removes it.
+    """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.root = root or f"{shared_folder(spark).rstrip('/')}/kpiloom-{uuid.uuid4().hex}"
+        own = f"{shared_folder(spark).rstrip('/')}/kpiloom-{uuid.uuid4().hex}"
+        self.root = root or own
+        self.work = f"{own}/work"
         self.schemas: dict[str, object] = {}
         self._cuts = itertools.count()
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        return f"{self.work if name.startswith('_') else self.root}/{name}"
 
     def put(
         self,
@@ -77,12 +92,27 @@ class TableStore:
             return self.spark.read.parquet(self.path(name))
         return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.names)
 
+    def drop_work(self) -> None:
+        """Delete the intermediate results; plans that still read them have to be built again."""
+        delete(self.spark, self.work)
+
     def discard(self) -> None:
-        """Delete the whole folder, once everything wanted from it is published."""
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        """Delete everything, once what is wanted from it is published."""
+        self.drop_work()
+        delete(self.spark, self.root)
         self.schemas.clear()
 
+    def cut_sorted(self, df: DataFrame, by: Sequence[Column]) -> DataFrame:
+        """Write ``df`` in order under a name of its own; adds the ``PLACE`` columns.
+
+        Every task of the sort writes one range, files and ranges in the order of the rows. The
+        sort's range boundaries are sampled whenever it runs; the written table pins one outcome.
+        """
+        name = f"_sorted_{next(self._cuts)}"
+        self.put(name, df.orderBy(*by).withColumn(PLACE[0], F.spark_partition_id()))
+        return self.get(name).select(
+            "*", F.col("_metadata.file_name").alias(PLACE[1]), F.col("_metadata.row_index").alias(PLACE[2]))
+
     def cut(self, df: DataFrame, label: str = "cut") -> DataFrame:
         """Write an intermediate result under a name of its own."""
         return self.put(f"_{label}_{next(self._cuts)}", df)

@@ -10,19 +10,31 @@ from kpiloom.functions.numbers import change_pct, fixed, money, ratio
 from kpiloom.functions.text import first_token
 from kpiloom.operators.lookup import lookup
 from kpiloom.operators.modal import most_frequent
-from kpiloom.operators.prefix_scan import Key, prefix_scan
+from kpiloom.operators.prefix_scan import Key, block_rank, place_in_block, prefix_scan
 
 
-def scanned(df, store, limit, order):
-    return prefix_scan(
-        df, order, store, rank="place", sums={"running": "amount"}, totals={"total": "amount"},
-        single_task_rows=limit,
-    )
+@pytest.fixture(params=[1, 13])
+def ranges(request, spark):
+    """Run with one range and with many: small tables would always be merged into one."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(request.param))
+    yield request.param
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def scanned(df, store, order):
+    return prefix_scan(df, order, store, rank="place", sums={"running": "amount"}, totals={"total": "amount"})
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("seed", range(3))
 @pytest.mark.parametrize("descending", [True, False])
-def test_ranges_equal_the_plain_window(spark, store, seed, descending):
+def test_ranges_equal_the_plain_window(spark, store, ranges, seed, descending):
     """A third of the rows share the leading value; NULLs and negatives included."""
     rng = random.Random(seed)
     rows = []
@@ -32,34 +44,60 @@ def test_ranges_equal_the_plain_window(spark, store, seed, descending):
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "id bigint, lead decimal(18,2), amount decimal(18,4)")
     order = [Key("lead", descending), Key("id")]
-    wide = {tuple(r) for r in scanned(df, store, 100, order).collect()}
-    plain = {tuple(r) for r in scanned(df, store, 10_000, order).collect()}
-    assert wide == plain and len(wide) == 2000
-
+    found = scanned(df, store, order)
+    files = store.get("_sorted_0").select("_metadata.file_name").distinct().count()
+    assert files == ranges
     by = Window.orderBy(*[k.column() for k in order])
-    expected = {r.id: r.n for r in df.select("id", F.row_number().over(by).alias("n")).collect()}
-    assert {t[0]: t[3] for t in wide} == expected
+    running = by.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    expected = df.select(
+        "*", F.row_number().over(by).cast("bigint").alias("place"), F.sum("amount").over(running).alias("running"),
+        F.sum("amount").over(Window.partitionBy()).alias("total"))
+    assert found.columns == expected.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
 
 
-def test_ranges_on_text(spark, store):
+def test_ranges_on_text(spark, store, ranges):
     df = spark.range(500).select(
         F.concat(F.lit("K"), F.col("id").cast("string")).alias("code"), F.lit(1).alias("amount")
     )
-    rows = scanned(df, store, 40, [Key("code")]).collect()
+    rows = scanned(df, store, [Key("code")]).collect()
     assert [r.code for r in sorted(rows, key=lambda r: r.place)] == sorted(r.code for r in rows)
     assert all(r.running == r.place and r.total == 500 for r in rows)
 
 
 def test_scan_of_no_rows(spark, store):
     df = spark.createDataFrame([], "id bigint, amount decimal(18,2)")
-    assert scanned(df, store, 10, [Key("id")]).collect() == []
+    assert scanned(df, store, [Key("id")]).collect() == []
+
+
+def test_no_window_over_all_rows_at_any_size(spark, store):
+    df = spark.range(10).withColumn("amount", F.lit(1))
+    ranked = plan_of(prefix_scan(df, [Key("id")], store, rank="place"))
+    assert "Window" not in ranked and "SinglePartition" not in ranked and "hashpartitioning" not in ranked
+    summed = plan_of(scanned(df, store, [Key("id")]))
+    assert "SinglePartition" not in summed and "hashpartitioning(_range" in summed
+
+
+@pytest.mark.parametrize("table,query", [
+    ("dim_customer", "dim_customer"), ("dim_product", "dim_product"),
+    ("mart_product_period", "mart_product_period"), ("mart_customer_concentration", "mart_customer_concentration"),
+])
+def test_ranked_tables_have_no_window_over_all_rows(sample, table, query):
+    from kpiloom.plans import star
+
+    plan = plan_of(
+        star.dim_customer(sample.clean, sample.cfg, sample.store) if table == "dim_customer"
+        else star.dim_product(sample.clean, sample.cfg, sample.store) if table == "dim_product" else sample.build(table))
+    assert "SinglePartition" not in plan
 
 
-def test_wide_scan_has_no_single_task_sort(spark, store):
-    df = spark.range(1000).withColumn("amount", F.lit(1))
-    plan = scanned(df, store, 100, [Key("id")])._jdf.queryExecution().executedPlan().toString()
-    windows = plan.split("Window [row_number()")[1]
-    assert "hashpartitioning(_bucket" in windows.split("Scan")[0]
+@pytest.mark.parametrize("n", [0, 1, 70_000, 200_000])
+def test_rank_by_blocks(spark, store, n):
+    ids = spark.range(1, n + 1).withColumnRenamed("id", "row").repartition(5)
+    kept = store.put("kept", place_in_block(ids, "row", F.col("row") % 7 != 0, "place"))
+    ranked = block_rank(kept.where("place is not null"), "row", "place", "rank", store)
+    wrong = ranked.where(F.col("rank") != F.col("row") - F.floor(F.col("row") / 7)).count()
+    assert wrong == 0 and ranked.count() == n - n // 7
 
 
 def test_mode_ties_nulls_and_minimum(spark):
