@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PRICE_TYPE = "decimal(18,6)"
+QUANTITY_TYPE = "decimal(18,6)"
 AMOUNT_TYPE = "decimal(18,4)"
 
 

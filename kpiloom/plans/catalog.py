@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,25 +12,36 @@ from pyspark.sql import functions as F
 from kpiloom.functions.months import shift_month
 from kpiloom.plans import analysis, datasets, marts, monthly, star
 from kpiloom.plans.periods import reporting_period
-from kpiloom.plans.warehouse import Warehouse
+from kpiloom.plans.warehouse import PUBLISHED, Warehouse, publish
+from kpiloom.publish import Published, Release
 from kpiloom.quality import engine
 from kpiloom.quality.rules import FLAG_COLUMNS
-from kpiloom.sources import staging
-from kpiloom.sources.delimited import RAW_COLUMNS, union_sources
+from kpiloom.sources import sinks, staging
+from kpiloom.sources.delimited import BAD_RECORD, RAW_COLUMNS, read_delimited, union_sources
 from kpiloom.sources.testdata import PROFILE, raw_lines
 
 # A revenue floor that, unlike the shipped one, leaves families of the smaller data out.
 GUARD_FLOOR = 2_000_000.0
 
 _WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
+_KEPT = 4
+_GUARD = Lock()
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """One refresh per Spark application and data folder, as a scheduled run would do."""
+    """One refresh per Spark application and data folder, as a scheduled run would do.
+
+    The last few folders stay; the tables of the others, and of ended applications, go.
+    """
     key = (spark.sparkContext.applicationId, str(sf_dir))
-    if key not in _WAREHOUSES:
-        _WAREHOUSES[key] = Warehouse(raw_lines(spark, str(sf_dir)), PROFILE)
-    return _WAREHOUSES[key]
+    with _GUARD:
+        for old in [k for k in _WAREHOUSES if k[0] != key[0]]:
+            del _WAREHOUSES[old]
+        found = _WAREHOUSES.pop(key, None) or Warehouse(raw_lines(spark, str(sf_dir)), PROFILE)
+        while len(_WAREHOUSES) >= _KEPT:
+            _WAREHOUSES.pop(next(iter(_WAREHOUSES))).store.discard()
+        _WAREHOUSES[key] = found
+    return found
 
 
 # Result columns that may be NULL although their type has no NULL in every client library.
@@ -58,12 +71,11 @@ def presentable(df: DataFrame) -> DataFrame:
 
 
 def _staging(w: Warehouse) -> DataFrame:
-    typed = staging.typed_lines(w.raw)
-    return staging.number_by_content(typed, w.store, w.cfg.single_task_rows)
+    return staging.number_by_content(w.landing, w.store).select(*staging.STAGING_COLUMNS)
 
 
 def _coercion_failures(w: Warehouse) -> DataFrame:
-    return staging.coercion_failures(staging.typed_lines(w.raw))
+    return w.coercion_failures
 
 
 def _multi_source_union(w: Warehouse) -> DataFrame:
@@ -76,6 +88,61 @@ def _multi_source_union(w: Warehouse) -> DataFrame:
     return both.select(*RAW_COLUMNS, "source_sheet")
 
 
+def _exports(w: Warehouse) -> DataFrame:
+    """The raw lines as compressed exports: sales, credit notes in another column order, broken records."""
+    root, raw = w.store.path(f"_exports-{uuid.uuid4().hex}"), w.raw
+    is_credit = F.col("Invoice").startswith(w.cfg.cancellation_prefix)
+    exports = {
+        "sales": raw.where(~is_credit),
+        "credit_notes": raw.where(is_credit).select(*reversed(raw.columns)).withColumnsRenamed(
+            {"Invoice": "InvoiceNo", "Price": "UnitPrice", "CustomerID": "Customer ID"}),
+    }
+    plain = {"compression": "gzip", "ignoreTrailingWhiteSpace": "false", "ignoreLeadingWhiteSpace": "false"}
+    for name, lines in exports.items():
+        lines.write.options(header=True, **plain).csv(f"{root}/{name}")
+    # One column with the header of all of them as its name: records of two fields below a line of eight.
+    broken = raw.where(F.col("Invoice").isNull()).select(F.concat_ws(",", "StockCode", "Country").alias(",".join(raw.columns)))
+    broken.write.options(header=True, sep="|", **plain).csv(f"{root}/broken")
+    scan = read_delimited(w.spark, [f"{root}/{name}" for name in (*exports, "broken")])
+    return scan.withColumn("export", F.regexp_extract("src_file", r"/([^/]+)/[^/]+$", 1))
+
+
+def _delimited_scan(w: Warehouse) -> DataFrame:
+    return _exports(w).where(F.col(BAD_RECORD).isNull()).select(*RAW_COLUMNS, "export")
+
+
+def _delimited_rejects(w: Warehouse) -> DataFrame:
+    bad = _exports(w).where(F.col(BAD_RECORD).isNotNull())
+    return bad.groupBy("export", F.col(BAD_RECORD).alias("record")).agg(F.count(F.lit(1)).alias("records"))
+
+
+def _fractional_lines(w: Warehouse) -> DataFrame:
+    halves = w.raw.withColumn("Quantity", F.concat("Quantity", F.lit(".5")))
+    return staging.typed_lines(halves).select(
+        "invoice_no", "stock_code", "quantity", "unit_price", *star.measures(w.cfg))
+
+
+def _published_release(w: Warehouse) -> DataFrame:
+    """Publish the tables, then count the rows that a reader of the release finds."""
+    root = w.store.path(f"_published-{uuid.uuid4().hex}")
+    publish(w, Release(w.spark, root), {name: w.mart(name) for name in PUBLISHED})
+    release = Published(w.spark, root)
+    names = [n for n in release.names() if "/" not in n]
+    return sinks.row_counts({n: release.table(n) for n in names})
+
+
+def _export_roundtrip(w: Warehouse) -> DataFrame:
+    mart, root = w.products(), w.store.path(f"_roundtrip-{uuid.uuid4().hex}")
+    sinks.export_marts({"products": mart}, root)
+    return w.spark.read.option("header", True).schema(mart.schema).csv(f"{root}/products")
+
+
+def _json_records(w: Warehouse) -> DataFrame:
+    mart = w.mart("mart_returns_family")
+    records = datasets.json_records(mart)
+    return records.select(F.from_json("record", mart.schema).alias("r")).select("r.*")
+
+
 # -- queries on the checked lines ---------------------------------------------------
 
 
@@ -113,10 +180,6 @@ def _flag_counts(w: Warehouse) -> DataFrame:
     return totals.select(F.inline(F.array(*rows)))
 
 
-def _lines(df: DataFrame) -> DataFrame:
-    return df.drop("source_row_id")
-
-
 def _shifted(w: Warehouse) -> DataFrame:
     key = F.col("month_key")
     return star.month_completeness(w.clean).select(
@@ -138,19 +201,27 @@ BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "staging": _staging,
     "coercion_failures": _coercion_failures,
     "multi_source_union": _multi_source_union,
+    "delimited_scan": _delimited_scan,
+    "delimited_rejects": _delimited_rejects,
+    "fractional_lines": _fractional_lines,
+    "source_provenance": lambda w: w.sources,
+    "published_release": _published_release,
+    "export_roundtrip": _export_roundtrip,
+    "json_records": _json_records,
     "run_context": Warehouse.run_context,
     "mart_row_counts": Warehouse.mart_row_counts,
     "warehouse_inventory": Warehouse.inventory,
     # data quality
     "dq_report": lambda w: w.build("dq_report"),
     "dq_score": Warehouse.dq_score,
+    "score_gate": lambda w: engine.score_gate(w.dq_report, w.cfg.min_dq_score),
     "dq_conservation": Warehouse.dq_conservation,
     "dq_duplicates": _duplicates,
     "dq_fix_mode_fill": _repaired("DQ012"),
     "dq_fix_normalise": _repaired("DQ013"),
     "dq_flag_counts": _flag_counts,
-    "dq_quarantine": lambda w: _lines(w.quarantine),
-    "dq_clean": lambda w: _lines(w.clean),
+    "dq_quarantine": lambda w: w.quarantine,
+    "dq_clean": lambda w: w.clean,
     "dq_rules_fired": lambda w: datasets.dq_rules_fired(w.dq_report),
     # star schema
     "dim_date": lambda w: star.dim_date(w.clean),
@@ -158,8 +229,8 @@ BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "dim_customer": lambda w: star.dim_customer(w.clean, w.cfg, w.store),
     "dim_product": lambda w: star.dim_product(w.clean, w.cfg, w.store),
     "fct_sales_line": lambda w: star.fct_sales_line(
-        w.clean, w.dim_customer, w.dim_product, w.cfg
-    ).drop("sales_line_key", "source_row_id"),
+        star.number_clean_lines(w.checked, w.store), w.dim_customer, w.dim_product, w.cfg
+    ),
     "referential_integrity": lambda w: star.referential_integrity(
         w.fct_sales_line, w.dim_date, w.dim_customer, w.dim_product
     ),
@@ -217,6 +288,7 @@ BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "returns_trend_focus": lambda w: datasets.returns_trend_focus(
         w.mart("mart_returns_family"), w.mart("mart_returns_monthly")
     ),
+    "returns_table": lambda w: datasets.returns_table(w.mart("mart_returns_family")),
     "pareto_top_n": lambda w: datasets.pareto_top_n(w.products(), w.cfg.top_n),
     "cohort_grid": lambda w: datasets.cohort_grid(
         w.mart("mart_cohort_retention"), w.kpi_monthly, w.cfg

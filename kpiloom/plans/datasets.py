@@ -222,6 +222,14 @@ def returns_trend_focus(families: DataFrame, trend: DataFrame, n: int = 6) -> Da
     )
 
 
+def returns_table(families: DataFrame, n: int = 8) -> DataFrame:
+    """Families by what their higher return rate cost; those without a base period last."""
+    order = [F.col("excess_returns_value").desc_nulls_last(), F.col("product_family")]
+    return families.orderBy(*order).limit(n).select(
+        "product_family", "gross_revenue_cur", "return_rate_cmp_pct", "return_rate_cur_pct", "excess_returns_value"
+    )
+
+
 def pareto_top_n(products: DataFrame, n: int) -> DataFrame:
     order = [F.col("net_revenue_cur").desc(), F.col("product_key")]
     return sellable(products).orderBy(*order).limit(n).select(

@@ -34,6 +34,19 @@ def _attach(agg: DataFrame, dim: DataFrame, key: str, columns: list[str]) -> Dat
     return agg.join(dim.select(key, *columns), key)
 
 
+def _with_orders(sums: DataFrame, lines: DataFrame, key: str, out: str) -> DataFrame:
+    """Add the number of orders per key.
+
+    A grain of its own: only distinct (key, invoice) pairs are shuffled to be counted, while the
+    sums reach their key as one row per task.
+    """
+    orders = (
+        lines.where(~F.col("is_cancellation_doc") & F.col("invoice_no").isNotNull())
+        .select(key, "invoice_no").distinct()
+        .groupBy(key).agg(F.count(F.lit(1)).alias(out)))
+    return sums.join(orders, key, "left").withColumn(out, F.coalesce(out, F.lit(0).cast("bigint")))
+
+
 # -- products -----------------------------------------------------------------------
 
 
@@ -47,10 +60,9 @@ def product_period(
         "returns": "return_amount",
         "units": "units_sold",
     }
-    order_no = F.when(periods.is_current() & ~F.col("is_cancellation_doc"), F.col("invoice_no"))
-    agg = periods.scope(fact).groupBy("product_key").agg(
-        *_two_period_sums(periods, amounts), F.count_distinct(order_no).alias("orders_cur")
-    )
+    scoped = periods.scope(fact)
+    sums = scoped.groupBy("product_key").agg(*_two_period_sums(periods, amounts))
+    agg = _with_orders(sums, scoped.where(periods.is_current()), "product_key", "orders_cur")
     col = F.col
     products = _attach(
         agg, product_dim, "product_key",
@@ -77,7 +89,6 @@ def product_period(
         rank="revenue_rank",
         sums={"_running": "net_revenue_cur"},
         totals={"_total": "net_revenue_cur"},
-        single_task_rows=cfg.single_task_rows,
     )
     share = ratio(col("_running"), col("_total"), 2, 100.0)
     return scanned.withColumn("cumulative_revenue_share_pct", share).drop("_running", "_total")
@@ -247,21 +258,18 @@ def customer_concentration(
     """Per identified customer of the current month: revenue, rank and running share."""
     cur, cmp = periods.is_current(), periods.is_comparison()
     col = F.col
-    accounts = (
-        periods.scope(fact)
-        .where(col("customer_key") != cfg.guest_customer_key)
-        .groupBy("customer_key")
+    identified = periods.scope(fact).where(col("customer_key") != cfg.guest_customer_key)
+    sums = (
+        identified.groupBy("customer_key")
         .agg(
             F.count_if(cur).alias("_lines"),
             sum_if(cur, col("line_amount")).alias("_net"),
             sum_if(cmp, col("line_amount")).alias("_net_cmp"),
             sum_if(cur, col("return_amount")).alias("_returned"),
-            F.count_distinct(
-                F.when(cur & ~col("is_cancellation_doc"), col("invoice_no"))
-            ).alias("orders"),
         )
         .where(col("_lines") > 0)
     )
+    accounts = _with_orders(sums, identified.where(cur), "customer_key", "orders")
     named = _attach(accounts, customer_dim, "customer_key", ["customer_id", "country", "cohort_label"])
     scanned = prefix_scan(
         named,
@@ -270,7 +278,6 @@ def customer_concentration(
         rank="revenue_rank",
         sums={"_running": "_net"},
         totals={"_total": "_net"},
-        single_task_rows=cfg.single_task_rows,
     )
     return scanned.select(
         "customer_key", "customer_id", "country", "cohort_label",

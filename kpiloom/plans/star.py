@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.config import Config
 from kpiloom.functions.months import date_key, month_key, month_label
-from kpiloom.functions.numbers import AMOUNT_TYPE
+from kpiloom.functions.numbers import AMOUNT_TYPE, QUANTITY_TYPE
 from kpiloom.functions.text import first_token
 from kpiloom.operators.lookup import lookup
 from kpiloom.operators.modal import most_frequent
-from kpiloom.operators.prefix_scan import Key, block_positions, prefix_scan
-from kpiloom.quality.engine import UNKNOWN_PRODUCT
+from kpiloom.operators.prefix_scan import Key, block_rank, place_in_block, prefix_scan
+from kpiloom.quality.engine import CLEAN_PLACE, UNKNOWN_PRODUCT, data_columns
 from kpiloom.quality.rules import FLAG_COLUMNS
 from kpiloom.store import TableStore
 
@@ -113,7 +113,6 @@ def dim_customer(clean: DataFrame, cfg: Config, store: TableStore) -> DataFrame:
     """Customers keyed 1..n by id, their acquisition cohort, and the guest member."""
     keyed = prefix_scan(
         customers(clean), [Key("customer_id")], store, rank="customer_key",
-        single_task_rows=cfg.single_task_rows,
     )
     cohort = month_key(F.col("first_order_ts"))
     members = keyed.withColumns({
@@ -144,7 +143,6 @@ def dim_product(clean: DataFrame, cfg: Config, store: TableStore) -> DataFrame:
     )
     keyed = prefix_scan(
         described, [Key("stock_code")], store, rank="product_key",
-        single_task_rows=cfg.single_task_rows,
     )
     non_product = F.upper("stock_code").isin(*cfg.non_product_codes_upper)
     family = F.when(non_product, F.lit(NON_PRODUCT_FAMILY)).otherwise(
@@ -169,14 +167,39 @@ FACT_COLUMNS = (
 )
 
 
-def number_clean_lines(clean_table: DataFrame, store: TableStore) -> DataFrame:
-    """sales_line_key 1..n from file and row position of the written clean lines."""
-    placed = clean_table.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.row_index").alias("_row"),
-    )
-    return block_positions(placed, ["_file"], "_row", "sales_line_key", store).drop("_file", "_row")
+def place_clean_lines(checked: DataFrame) -> DataFrame:
+    """The place of each clean line among those of its block of row ids."""
+    return place_in_block(checked, "source_row_id", ~F.col("is_quarantined"), CLEAN_PLACE)
+
+
+def number_clean_lines(checked: DataFrame, store: TableStore) -> DataFrame:
+    """Clean lines with sales_line_key 1..n in the order of their row ids.
+
+    The key follows from the written checked lines alone, before any lookup, so it is the same
+    however the lookups are run.
+    """
+    clean = checked.where(~F.col("is_quarantined")).select(*data_columns(checked), CLEAN_PLACE)
+    return block_rank(clean, "source_row_id", CLEAN_PLACE, "sales_line_key", store).drop(CLEAN_PLACE)
+
+
+def measures(cfg: Config) -> list[Column]:
+    """Amounts and units of a typed line, split by the return flag; exact decimals throughout."""
+    # A missing quantity or price passes the shipped rules; it moves no money or unit.
+    quantity = F.coalesce("quantity", F.lit(0)).cast(QUANTITY_TYPE)
+    price = F.coalesce("unit_price", F.lit(0).cast("decimal(18,6)"))
+    exact = quantity * price
+    too_large = F.raise_error(F.concat(F.lit("line amount out of range: "), exact.cast("string")))
+    amount = F.coalesce(exact.try_cast(AMOUNT_TYPE), too_large.cast(AMOUNT_TYPE))
+    is_return = F.coalesce(F.col("quantity") < cfg.return_quantity_threshold, F.lit(False))
+    no_amount, no_units = F.lit(0).cast(AMOUNT_TYPE), F.lit(0).cast(QUANTITY_TYPE)
+    return [
+        amount.alias("line_amount"),
+        F.when(is_return, no_amount).otherwise(amount).alias("gross_amount"),
+        F.when(is_return, (-amount).cast(AMOUNT_TYPE)).otherwise(no_amount).alias("return_amount"),
+        F.when(is_return, no_units).otherwise(quantity).alias("units_sold"),
+        F.when(is_return, (-quantity).cast(QUANTITY_TYPE)).otherwise(no_units).alias("units_returned"),
+        is_return.alias("is_return"),
+    ]
 
 
 def fct_sales_line(
@@ -201,14 +224,6 @@ def fct_sales_line(
         F.concat(F.lit("no product for stock code "), F.coalesce("stock_code", F.lit("NULL")))
     )
 
-    # A missing quantity or price passes the shipped rules; it moves no money or unit.
-    quantity = F.coalesce("quantity", F.lit(0).cast("bigint"))
-    price = F.coalesce("unit_price", F.lit(0).cast("decimal(18,6)"))
-    exact = quantity.cast("decimal(19,0)") * price
-    too_large = F.raise_error(F.concat(F.lit("line amount out of range: "), exact.cast("string")))
-    amount = F.coalesce(exact.try_cast(AMOUNT_TYPE), too_large.cast(AMOUNT_TYPE))
-    is_return = F.coalesce(F.col("quantity") < cfg.return_quantity_threshold, F.lit(False))
-    no_amount, no_units = F.lit(0).cast(AMOUNT_TYPE), F.lit(0).cast("bigint")
     prefix = cfg.cancellation_prefix
     is_cancellation = F.coalesce(F.col("invoice_no").startswith(prefix), F.lit(False))
 
@@ -225,12 +240,7 @@ def fct_sales_line(
         .alias("product_key"),
         "quantity",
         "unit_price",
-        amount.alias("line_amount"),
-        F.when(is_return, no_amount).otherwise(amount).alias("gross_amount"),
-        F.when(is_return, (-amount).cast(AMOUNT_TYPE)).otherwise(no_amount).alias("return_amount"),
-        F.when(is_return, no_units).otherwise(quantity).alias("units_sold"),
-        F.when(is_return, -quantity).otherwise(no_units).alias("units_returned"),
-        is_return.alias("is_return"),
+        *measures(cfg),
         is_cancellation.alias("is_cancellation_doc"),
         *FLAG_COLUMNS,
     )
@@ -239,10 +249,28 @@ def fct_sales_line(
 # -- checks -------------------------------------------------------------------------
 
 
+def is_sequence(table: DataFrame, key: str) -> bool:
+    """Whether ``key`` holds each of 1..n once, without moving a row.
+
+    Number, range and XOR of the hashes of the keys against those of the sequence itself: two
+    aggregates of one row. Keys with a repeat agree with all three with probability 2^-64.
+    """
+    hashed = F.bit_xor(F.xxhash64(key)).alias("mark")
+    found = table.agg(F.count(F.lit(1)).alias("n"), F.count(key).alias("held"), F.min(key).alias("low"), F.max(key).alias("high"), hashed).first()
+    if not (found.n == found.held == found.high and found.low == 1):
+        return False
+    wanted = table.sparkSession.range(1, found.n + 1).select(F.col("id").alias(key)).agg(hashed).first()
+    return found.mark == wanted.mark
+
+
 def referential_integrity(
     fact: DataFrame, date_dim: DataFrame, customer_dim: DataFrame, product_dim: DataFrame
 ) -> DataFrame:
-    """(check_name, violations): orphaned keys and repeated surrogate keys."""
+    """(check_name, violations): orphaned keys and repeated surrogate keys.
+
+    Surrogate keys that are a sequence, as they are built, need no look at single rows; rows meet
+    by key only when a table fails that test.
+    """
 
     def orphans(dim: DataFrame, key: str) -> DataFrame:
         # Distinct keys first: the anti join then sees each fact key once.
@@ -252,6 +280,9 @@ def referential_integrity(
         )
 
     def repeated(table: DataFrame, key: str) -> DataFrame:
+        if is_sequence(table, key):
+            return table.sparkSession.range(1).select(
+                F.lit(f"repeated {key}").alias("check_name"), F.lit(0).cast("bigint").alias("violations"))
         per_key = table.groupBy(key).agg((F.count(F.lit(1)) - 1).alias("n"))
         return per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations")).select(
             F.lit(f"repeated {key}").alias("check_name"), "violations"

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
+from threading import Lock, RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from kpiloom.functions.numbers import fixed
 from kpiloom.operators.onerow import with_row
 from kpiloom.plans import analysis, datasets, insights, marts, monthly, star
 from kpiloom.plans.periods import PeriodPair, reporting_period, resolve_periods
+from kpiloom.publish import Release
 from kpiloom.quality import engine
 from kpiloom.quality.rules import DEFAULT_RULES, Rule
 from kpiloom.sources import sinks, staging
@@ -54,28 +56,61 @@ class Warehouse:
         self.rules = rules
         self.store = store or TableStore(self.spark)
         self._stored: dict[str, DataFrame] = {}
+        self._malformed = 0
+        self._guard, self._landing = Lock(), RLock()
+        self._locks: dict[str, RLock] = {}
 
     # -- stored tables, in build order ------------------------------------------------
 
     def _table(self, name: str, build: Callable[[], DataFrame], **put: object) -> DataFrame:
-        if name not in self._stored:
-            self._stored[name] = self.store.put(name, build(), **put)
-        return self._stored[name]
+        """The stored table, written by the first caller; others of the same table wait for it."""
+        with self._guard:
+            lock = self._locks.setdefault(name, RLock())
+        with lock:
+            if name not in self._stored:
+                self._stored[name] = self.store.put(name, build(), **put)
+            return self._stored[name]
 
     @property
     def landing(self) -> DataFrame:
-        if "landing" not in self._stored:
-            self._stored["landing"] = staging.landing(self.raw, self.store)
-        return self._stored["landing"]
+        with self._landing:
+            if "landing" not in self._stored:
+                self._stored["landing"], self._malformed = staging.landing(self.raw, self.store)
+            return self._stored["landing"]
+
+    @property
+    def malformed(self) -> int:
+        """Records of the sources that are no line."""
+        self.landing
+        return self._malformed
+
+    @property
+    def bad_records(self) -> DataFrame:
+        """Those records: file, start of the split, text. Without any, the sources are not read again."""
+        found = self.raw if self.malformed else self.raw.limit(0)
+        return self._table("bad_records", lambda: staging.bad_records(found))
+
+    @property
+    def coercion_failures(self) -> DataFrame:
+        return self._table("coercion_failures", lambda: staging.coercion_failures(self.landing))
+
+    @property
+    def sources(self) -> DataFrame:
+        """One row per source (file, sheet, export): lines, and whether they are a sample."""
+        cfg = self.cfg
+        sample = F.lit(cfg.is_synthetic) | F.coalesce(F.col("source_sheet").isin(*cfg.synthetic_sources), F.lit(False))
+        return self._table("sources", lambda: self.checked.groupBy("source_sheet").agg(
+            F.count(F.lit(1)).alias("row_count")).withColumn("is_synthetic", sample))
 
     @property
     def checked(self) -> DataFrame:
         """Every staged line with repairs, flags, rule masks and quarantine reason."""
 
         def build() -> DataFrame:
-            lines = staging.number_by_position(self.landing, self.store)
+            lines = staging.number_lines(self.landing, self.store)
             lines = lines.select(*staging.STAGING_COLUMNS)
-            return engine.check_lines(lines, self.rules, self.cfg, self.store)
+            checked = engine.check_lines(lines, self.rules, self.cfg, self.store)
+            return star.place_clean_lines(checked)
 
         return self._table("checked", build, partition_by=("is_quarantined",))
 
@@ -110,12 +145,11 @@ class Warehouse:
         """The fact, partitioned by month so that period marts read two partitions."""
 
         def build() -> DataFrame:
-            numbered = star.number_clean_lines(self.clean, self.store)
+            numbered = star.number_clean_lines(self.checked, self.store)
             return star.fct_sales_line(numbered, self.dim_customer, self.dim_product, self.cfg)
 
-        return self._table(
-            "fct_sales_line", build, partition_by=("month_key",), rebalance=True
-        ).select(*star.FACT_COLUMNS)
+        stored = self._table("fct_sales_line", build, partition_by=("month_key",), rebalance=True)
+        return stored.select(*star.FACT_COLUMNS)
 
     @property
     def kpi_monthly(self) -> DataFrame:
@@ -214,15 +248,29 @@ class Warehouse:
         )
 
     def run_context(self) -> DataFrame:
-        """One row describing the run: provenance, quality, period and bridge."""
+        """One row describing the run: provenance, coercion, quality, period and bridge.
+
+        The flag follows the sources: one sample among them makes the whole run a sample.
+        """
         cfg = self.cfg
-        provenance = self.spark.range(1).select(
-            F.lit(cfg.source_label).alias("source_label"),
-            F.lit(cfg.is_synthetic).alias("is_synthetic"),
+        files = F.array_join(F.sort_array(F.collect_set("source_sheet")), ", ")
+        sample = F.coalesce(F.bool_or("is_synthetic"), F.lit(cfg.is_synthetic))
+        named = F.when(files == "", F.lit(cfg.source_name)).otherwise(F.concat(F.lit(f"{cfg.source_name} ("), files, F.lit(")")))
+        provenance = self.sources.agg(
+            F.lit(cfg.project).alias("project"),
+            F.lit(cfg.owner).alias("owner"),
+            F.when(sample, F.lit("SYNTHETIC DEMO SAMPLE")).otherwise(named).alias("source_label"),
+            sample.alias("is_synthetic"),
+            files.alias("source_files"),
             F.lit(cfg.currency).alias("currency"),
             F.lit(cfg.top_n).alias("top_n"),
             F.lit(cfg.retention_horizon).alias("retention_horizon"),
+            F.lit(self.malformed).cast("bigint").alias("malformed_records"),
         )
+        failures = self.coercion_failures.agg(*[
+            F.coalesce(F.max(F.when(F.col("column_name") == c, F.col("failures"))), F.lit(0)).alias(f"failed_{c}")
+            for c in staging.COUNTED_COERCIONS
+        ])
         counts = self.dq_conservation().select(
             F.col("rows_in").alias("rows_read"),
             "rows_quarantined",
@@ -232,7 +280,7 @@ class Warehouse:
         )
         bridge = analysis.guest_bridge(self.kpi_monthly_factors, self.periods)
         out = provenance
-        for one_row in (counts, self.dq_score(), self.reporting_period(), bridge):
+        for one_row in (failures, counts, self.dq_score(), self.reporting_period(), bridge):
             out = with_row(out, one_row)
         return out
 
@@ -276,40 +324,85 @@ class Warehouse:
             "cohort_grid": datasets.cohort_grid(cohorts, self.kpi_monthly, cfg),
             "retention": datasets.retention_mature(cohorts, self.kpi_monthly, cfg),
             "insights": self.insight_rules(),
+            "returns_table": datasets.returns_table(families),
             "dq_rules_fired": datasets.dq_rules_fired(self.dq_report),
+            "dq_report": self.dq_report,
+            "reconciliation": self.mart("mart_reconciliation"),
+        }
+
+    def star_schema(self) -> dict[str, DataFrame]:
+        """The tables a refresh publishes beside the marts."""
+        return {
+            "dim_date": self.dim_date,
+            "dim_customer": self.dim_customer,
+            "dim_product": self.dim_product,
+            "fct_sales_line": self.fct_sales_line,
+            "stg_transactions": self.clean,
+            "quarantine": self.quarantine,
+            "kpi_monthly": self.kpi_monthly,
+            "coercion_failures": self.coercion_failures,
+            "bad_records": self.bad_records,
+            "sources": self.sources,
         }
 
 
+# Where the release keeps a table that is not stored under its own name.
+_FOLDERS = {"stg_transactions": "checked/is_quarantined=false", "quarantine": "checked/is_quarantined=true"}
+
+
+def publish(warehouse: Warehouse, release: Release, published: dict[str, DataFrame]) -> None:
+    """Complete the release: its store holds the tables already, unless the caller's store does."""
+    own = warehouse.store.root == release.path("tables")
+
+    def table(name: str, df: DataFrame) -> None:
+        if own:
+            release.register(name, df.schema, f"tables/{_FOLDERS.get(name, name)}")
+        else:
+            release.write(name, df)
+
+    shown = {**warehouse.dashboard(), "run_context": warehouse.run_context()}
+    together(
+        *[lambda n=n, df=df: table(n, df) for n, df in {**warehouse.star_schema(), **published}.items()],
+        *[lambda n=n, df=df: release.write(f"marts/{n}", df, "csv") for n, df in published.items()],
+        *[
+            lambda n=n, df=df: release.write(f"dashboard/{n}", datasets.json_records(df), "text")
+            for n, df in shown.items()
+        ],
+    )
+    context = shown["run_context"].select("source_label", "is_synthetic", "rows_read", "rows_quarantined", "dq_score").first()
+    release.switch(context.asDict())
+
+
 def run(
     raw: DataFrame,
     cfg: Config,
     out_dir: str | None = None,
     rules: Sequence[Rule] = DEFAULT_RULES,
     store: TableStore | None = None,
+    keep: int = 2,
 ) -> Warehouse:
-    """A complete refresh with its gates; publishes the marts when ``out_dir`` is given.
+    """A complete refresh with its gates; published in one step when ``out_dir`` is given.
 
-    Nothing is modelled before the quality gate and nothing published before the
-    reconciliation gate.
+    Nothing is modelled before the quality gate and nothing published before the reconciliation
+    gate. Without a store of the caller the tables are written straight into the release; its
+    intermediate results go when it is published. ``keep`` releases stay readable.
     """
+    release = Release(raw.sparkSession, out_dir, keep) if out_dir else None
+    own = store is None and release is not None
+    store = TableStore(raw.sparkSession, release.path("tables")) if own else store
     warehouse = Warehouse(raw, cfg, rules, store)
-    engine.require_score(warehouse.dq_report, cfg.min_dq_score)
-    warehouse.prepare()
-    tables = together(*[lambda name=name: warehouse.mart(name) for name in PUBLISHED])
-    published = dict(zip(PUBLISHED, tables))
-    marts.require_reconciled(published["mart_reconciliation"], cfg)
-    if out_dir:
-        shown = {**warehouse.dashboard(), "run_context": warehouse.run_context()}
-        together(
-            *[
-                lambda name=name, mart=mart: sinks.export_marts({name: mart}, out_dir)
-                for name, mart in published.items()
-            ],
-            *[
-                lambda name=name, table=table: sinks.export_records(
-                    datasets.json_records(table), f"{out_dir}/dashboard/{name}"
-                )
-                for name, table in shown.items()
-            ],
-        )
+    try:
+        engine.require_score(warehouse.dq_report, cfg.min_dq_score)
+        warehouse.prepare()
+        tables = together(*[lambda name=name: warehouse.mart(name) for name in PUBLISHED])
+        published = dict(zip(PUBLISHED, tables))
+        marts.require_reconciled(published["mart_reconciliation"], cfg)
+        if release:
+            publish(warehouse, release, published)
+    except Exception:
+        if release:
+            release.abandon()
+        raise
+    if own:
+        warehouse.store.drop_work()
     return warehouse

@@ -22,6 +22,7 @@ from kpiloom.store import TableStore
 
 UNKNOWN_PRODUCT = "UNKNOWN PRODUCT"
 REASON = "quarantine_rule_id"
+CLEAN_PLACE = "clean_place"  # place among the clean lines of a block of row ids
 
 
 def failed_column(rule: Rule) -> str:
@@ -107,15 +108,13 @@ def _apply_fix(lines: DataFrame, rule: Rule, cfg: Config, store: TableStore) ->
     if rule.fix == "fill_from_stock_code_mode":
         known = lines.where(F.col(column).isNotNull() & F.col("stock_code").isNotNull())
         modes = store.cut(most_frequent(known, ["stock_code"], column), "modes")
-        # Only rows that need the repair carry a key, so a popular code causes no skew.
+        # Only the lines to repair enter the lookup; all others pass by.
         found = lookup(
-            lines, modes, F.when(failed, F.col("stock_code")), "stock_code",
-            F.col("source_row_id"), {"_mode": column},
+            lines.where(failed), modes, F.col("stock_code"), "stock_code", F.col("source_row_id"), {"_mode": column},
         )
         repaired = F.coalesce(F.col("_mode"), F.lit(UNKNOWN_PRODUCT))
-        return found.withColumn(
-            column, F.when(failed, repaired).otherwise(F.col(column))
-        ).drop("_mode")
+        fixed_lines = found.withColumn(column, repaired).drop("_mode")
+        return lines.where(~failed).unionByName(fixed_lines)
     raise ValueError(f"rule {rule.id}: unknown fix '{rule.fix}'")
 
 
@@ -163,7 +162,7 @@ def data_columns(checked: DataFrame) -> list[str]:
     """Staging columns and flags, without masks and bookkeeping."""
     return [
         c for c in checked.columns
-        if not c.startswith(("failed_", "checked_")) and c not in (REASON, "is_quarantined")
+        if not c.startswith(("failed_", "checked_")) and c not in (REASON, CLEAN_PLACE, "is_quarantined")
     ]
 
 
@@ -229,8 +228,14 @@ class QualityGateError(RuntimeError):
     """The score is below the configured floor; nothing may be published."""
 
 
+def score_gate(report: DataFrame, floor: float) -> DataFrame:
+    """One row: the score, its floor, and whether the run may go on."""
+    return quality_score(report).select(
+        "dq_score", F.lit(float(floor)).alias("floor"), (F.col("dq_score") >= floor).alias("passed"))
+
+
 def require_score(report: DataFrame, floor: float) -> float:
-    score = quality_score(report).first()["dq_score"]
-    if score < floor:
+    score, _, passed = score_gate(report, floor).first()
+    if not passed:
         raise QualityGateError(f"data quality score {score:.2f} is below the floor of {floor:.2f}")
     return score

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,17 +31,36 @@ RAW_COLUMNS = (
     "invoice_no", "stock_code", "description", "quantity",
     "invoice_ts", "unit_price", "customer_id", "country",
 )
-POSITION_COLUMNS = ("src_file", "src_block", "src_pos")
+POSITION_COLUMNS = ("src_file", "src_block")
+BAD_RECORD = "src_bad_record"
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Use every core for a scan that has fewer splits than the cluster has cores.
+def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str | None]:
+    """The first line of each file, compressed or not; None for an empty file.
 
-    That is a small file or one unsplittable archive; a large input has splits enough and
-    is left as it is, without a shuffle.
+    One line per file is read on the driver, sixteen files at a time, through the file system
+    that the scan itself uses.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first(path: str) -> str | None:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        stream = at.getFileSystem(conf).open(at)
+        try:
+            codec = codecs.getCodec(at)
+            plain = codec.createInputStream(stream) if codec else stream
+            return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        return dict(zip(paths, pool.map(first, paths)))
+
+
+def header_names(line: str, options: Mapping[str, str]) -> tuple[str, ...]:
+    cells = next(csv.reader([line.removeprefix("\ufeff")], delimiter=options.get("sep", ",")), [])
+    return tuple(c.strip() for c in cells)
 
 
 def read_delimited(
@@ -46,37 +68,57 @@ def read_delimited(
 ) -> DataFrame:
     """Scan delimited files (gzip included) as strings, NA tokens read as NULL.
 
-    ``header`` names the columns when they are known; otherwise the first line of one file
-    does. Every file's first line is checked against these names, and a record with too few
-    or too many fields stops the job: neither can be read by position without wrong rows.
-    Files with another column order are read by a call of their own and joined by
-    ``union_sources``. Values that contain line breaks need ``multiLine=True``; a file is then
-    one split.
+    Every file's own first line names its columns; files are united by canonical name, so exports
+    with another column order, other spellings or further columns meet in one table. There is one
+    scan per distinct header, not per file. With ``header`` all files are read with these names.
+
+    A record with too few or too many fields is no line: it comes with its text in
+    ``src_bad_record`` and all else NULL, for ``staging`` to count and set aside. Values that
+    contain line breaks need ``multiLine=True``; a file is then one split.
     The scan also carries where each line came from, so that input order can be
     restored later without a sort.
     """
-    # A quote inside a quoted value is written twice.
-    strict = {"header": True, "escape": '"', "mode": "FAILFAST", "columnPruning": False} | options
-    reader = spark.read.options(**strict)
-    names = header or reader.csv(path).columns
-    scan = reader.option("enforceSchema", False).schema(", ".join(f"`{c}` string" for c in names)).csv(path)
-    columns = [na_to_null(F.col(f"`{c}`")).alias(c) for c in scan.columns]
-    return spread(scan.select(
-        *columns,
-        F.col("_metadata.file_name").alias("source_sheet"),
-        F.col("_metadata.file_path").alias("src_file"),
-        F.col("_metadata.file_block_start").alias("src_block"),
-        F.monotonically_increasing_id().alias("src_pos"),
-    ))
-
-
-def canonical_columns(raw: DataFrame) -> DataFrame:
+    # A quote inside a quoted value is written twice; without pruning every field is counted.
+    strict = {"header": True, "escape": '"', "mode": "PERMISSIVE", "columnPruning": False,
+              "columnNameOfCorruptRecord": BAD_RECORD} | options
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    files = sorted(at(spark._jvm.java.net.URI.create(f)).toString() for f in spark.read.text(path).inputFiles())
+    if header:
+        groups = {tuple(header): files}
+    else:
+        groups = {}
+        for file, line in first_lines(spark, files).items():
+            if line is not None:
+                groups.setdefault(header_names(line, options), []).append(file)
+    if not groups:
+        raise ValueError(f"no file with a header line in {path}")
+
+    def scan(names: tuple[str, ...], members: list[str]) -> DataFrame:
+        schema = ", ".join(f"`{c}` string" for c in (*names, BAD_RECORD))
+        rows = spark.read.options(**strict).schema(schema).csv(members)
+        # Naming a field beside the record keeps a query for the record alone within what the reader allows.
+        record = F.coalesce(BAD_RECORD, F.nullif(F.col(f"`{names[0]}`"), F.col(f"`{names[0]}`")))
+        good = F.col(BAD_RECORD).isNull()
+        named = canonical_columns(rows.select(
+            *[F.when(good, na_to_null(F.col(f"`{c}`"))).alias(c) for c in names],
+            record.alias(BAD_RECORD),
+            # The name comes as part of a URI, where a plus sign is one.
+            F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B"))).alias("source_sheet"),
+            F.col("_metadata.file_path").alias("src_file"),
+            F.col("_metadata.file_block_start").alias("src_block"),
+        ), members[0])
+        return named.select(*RAW_COLUMNS, "source_sheet", *POSITION_COLUMNS, BAD_RECORD)
+
+    return reduce(DataFrame.unionByName, [scan(names, members) for names, members in sorted(groups.items())])
+
+
+def canonical_columns(raw: DataFrame, where: str = "source") -> DataFrame:
     """Rename vendor spellings; fail with the columns found when one is missing."""
     renamed = raw.withColumnsRenamed({k: v for k, v in COLUMN_NAMES.items() if k in raw.columns})
     missing = [c for c in RAW_COLUMNS if c not in renamed.columns]
     if missing:
         raise ValueError(
-            f"source lacks the column(s) {missing}; columns found: {sorted(raw.columns)}"
+            f"{where} lacks the column(s) {missing}; columns found: {sorted(raw.columns)}"
         )
     return renamed
 

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from kpiloom.functions.numbers import PRICE_TYPE
+from kpiloom.functions.numbers import PRICE_TYPE, QUANTITY_TYPE
 from kpiloom.functions.text import clean_string, strip
 from kpiloom.operators.prefix_scan import Key, block_positions, prefix_scan
-from kpiloom.sources.delimited import POSITION_COLUMNS, RAW_COLUMNS, canonical_columns
+from kpiloom.sources.delimited import BAD_RECORD, POSITION_COLUMNS, RAW_COLUMNS, canonical_columns
 from kpiloom.store import TableStore
 
+BAD_COLUMNS = ("source_sheet", *POSITION_COLUMNS, BAD_RECORD)
 STAGING_COLUMNS = ("source_row_id", *RAW_COLUMNS, "source_sheet")
 
 # Coercions whose failures are reported; a bad customer id is just an unknown customer.
@@ -29,7 +30,7 @@ def _timestamp(raw: Column, formats: Sequence[str]) -> Column:
 
 
 def _whole_number(raw: Column) -> Column:
-    """'12' and '12.0' are 12; a fractional or non-numeric value is a failure."""
+    """'12' and '12.0' are 12; a fractional or non-numeric value is unknown."""
     number = raw.try_cast("decimal(38,6)")
     exact = F.when(number == F.floor(number), number.try_cast("bigint"))
     return F.coalesce(raw.try_cast("bigint"), exact)
@@ -45,7 +46,7 @@ def typed_lines(raw: DataFrame, formats: Sequence[str] = TIMESTAMP_FORMATS) -> D
         "invoice_no": clean_string(F.col("invoice_no")),
         "stock_code": F.upper(clean_string(F.col("stock_code"))),
         "description": clean_string(F.col("description")),
-        "quantity": _whole_number(qty_text),
+        "quantity": qty_text.try_cast(QUANTITY_TYPE),
         "invoice_ts": _timestamp(ts_text, formats),
         "unit_price": price_text.try_cast(PRICE_TYPE),
         "customer_id": _whole_number(strip(F.col("customer_id"))),
@@ -77,66 +78,57 @@ def coercion_failures(typed: DataFrame) -> DataFrame:
     return counts.select(F.inline(rows)).where(F.col("failures") > 0)
 
 
-def with_positions(raw: DataFrame) -> DataFrame:
-    """Position columns for lines that do not come straight from a file scan.
+def landing(raw: DataFrame, store: TableStore) -> tuple[DataFrame, int]:
+    """Typed lines written once, and the number of records that the scan could not split.
 
-    They are only meaningful once written: the write pins one attempt of each task.
+    Text is parsed a single time, whatever reads the lines later; the records left out are counted
+    on the way. ``bad_records`` shows them.
     """
-    if set(POSITION_COLUMNS) <= set(raw.columns):
-        return raw
-    return raw.select(
-        "*",
-        F.lit("").alias("src_file"),
-        F.spark_partition_id().cast("bigint").alias("src_block"),
-        F.monotonically_increasing_id().alias("src_pos"),
-    )
+    if BAD_RECORD not in raw.columns:
+        return store.put("_landing", typed_lines(raw)), 0
+    seen = Observation()
+    counted = raw.observe(seen, F.count(BAD_RECORD).alias("bad"))
+    lines = counted.where(F.col(BAD_RECORD).isNull()).drop(BAD_RECORD)
+    return store.put("_landing", typed_lines(lines)), seen.get["bad"]
 
 
-def landing(raw: DataFrame, store: TableStore) -> DataFrame:
-    """Typed lines written once; text is parsed a single time, whatever reads them later."""
-    return store.put("landing", typed_lines(with_positions(raw)))
+def bad_records(raw: DataFrame) -> DataFrame:
+    """Records that are no line: file, start of the split, and text."""
+    if BAD_RECORD not in raw.columns:
+        empty = ", ".join(f"{c} {t}" for c, t in zip(BAD_COLUMNS, ("string", "string", "bigint", "string")))
+        return raw.sparkSession.createDataFrame([], empty)
+    return raw.where(F.col(BAD_RECORD).isNotNull()).select(*BAD_COLUMNS)
 
 
 def number_by_position(landed: DataFrame, store: TableStore) -> DataFrame:
-    """source_row_id 1..n in input order, from the written position columns."""
-    numbered = block_positions(
-        landed, ("src_file", "src_block"), "src_pos", "source_row_id", store
-    )
-    return numbered.drop(*POSITION_COLUMNS)
+    """source_row_id 1..n in input order: by file, split of the file, and line.
 
+    A split is read by one task, which writes its lines in their order; so the position in the
+    landing file is consecutive inside a split, whatever lines were left out before.
+    """
+    placed = landed.select(
+        "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    numbered = block_positions(placed, (*POSITION_COLUMNS, "_file"), "_row", "source_row_id", store)
+    return numbered.drop(*POSITION_COLUMNS, "_file", "_row")
 
-def number_by_content(typed: DataFrame, store: TableStore, single_task_rows: int) -> DataFrame:
+
+def number_by_content(landed: DataFrame, store: TableStore) -> DataFrame:
     """source_row_id 1..n in the total order over all columns (NULLs first).
 
-    Equal rows are interchangeable, so they are collapsed to one row with a
-    multiplicity, numbered by a running sum over it, and written out again in chunks:
-    a row that makes up a third of the input costs one row in the scan.
+    Equal lines are interchangeable. Their place in the written table only serves to cut them
+    into ranges, so that a line which makes up a third of the input does not end in one task.
     """
     columns = [*RAW_COLUMNS, "source_sheet"]
-    distinct = typed.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    scanned = prefix_scan(
-        distinct,
-        order=[Key(c) for c in columns],
-        store=store,
-        sums={"_last": "_copies"},
-        single_task_rows=single_task_rows,
-    )
-    last = F.col("_last").cast("bigint")
-    chunk = F.lit(single_task_rows).cast("bigint")
-    pieces = (
-        scanned.withColumn(
-            "_first", F.explode(F.sequence(last - F.col("_copies") + 1, last, chunk))
-        )
-        .withColumn("_end", F.least(F.col("_first") + chunk - 1, last))
-        # A fixed number of partitions: sized by bytes, the few short rows that stand for
-        # most of the copies would be merged into one task again.
-        .repartition(_expansion_tasks(typed.sparkSession), "_first")
-    )
-    return pieces.select(
-        F.explode(F.sequence("_first", "_end")).alias("source_row_id"), *columns
-    )
+    placed = landed.select("*", F.col("_metadata.row_index").alias("_copy"))
+    order = [Key(c) for c in (*columns, "_copy")]
+    return prefix_scan(placed, order, store, rank="source_row_id").drop("_copy")
 
 
-def _expansion_tasks(spark: SparkSession) -> int:
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(configured, 2 * spark.sparkContext.defaultParallelism)
+def number_lines(landed: DataFrame, store: TableStore) -> DataFrame:
+    """source_row_id in an order that belongs to the data: of the files, else of the values.
+
+    Neither depends on the number of tasks, so the same line of a group of duplicates stays, under
+    the same id, however the lines were dealt.
+    """
+    from_files = set(POSITION_COLUMNS) <= set(landed.columns)
+    return number_by_position(landed, store) if from_files else number_by_content(landed, store)

@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kpiloom.config import Config
-from kpiloom.sources.delimited import spread
-
 TABLES = ("lineitem", "orders", "customer", "part")
 
 # The profile the derived lines are analysed with.
@@ -19,7 +17,6 @@ PROFILE = Config(
     is_synthetic=True,
     non_product_stock_codes=("0", "50", "100", "150"),
     family_tokens=("WIDGET", "GEAR", "PLATE", "BOLT", "RING", "GIZMO", "ANVIL"),
-    single_task_rows=10_000,
 )
 
 RAW_LINES_SQL = """
@@ -62,9 +59,13 @@ _COLUMNS = "Invoice, StockCode, Description, Quantity, InvoiceDate, Price, Custo
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw string lines. Re-exported lines are repeated in place: one scan, one join."""
+    """The raw string lines. Re-exported lines are repeated in place: one scan, one join.
+
+    The lines come dealt by order, as a shuffled join with the orders needs them anyway: the file
+    is a single split, and typing its lines should not be a single task.
+    """
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES}
-    tables["lineitem"] = spread(tables["lineitem"])
+    tables["lineitem"] = tables["lineitem"].repartition("l_orderkey")
     statement = (
         RAW_LINES_SQL
         + f"SELECT {_COLUMNS} FROM e LATERAL VIEW explode(sequence(1, copies)) AS copy"

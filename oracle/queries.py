@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from kpiloom.plans.insights import GUEST_SHARE_PCT
-from kpiloom.sources.testdata import PROFILE
+from oracle.profile import GUEST_SHARE_PCT, MIN_COHORT, SCORE_FLOOR, TOLERANCE, TOP_N
+from oracle.profile import HORIZON as H
 from oracle.statements import FLAGS, big, dbl, fx, ratio, shift
 
 _TS = "strftime(invoice_ts, '%Y-%m-%d %H:%M:%S') AS invoice_ts"
 _PRICE = f"{dbl('unit_price')} AS unit_price"
 _FLAG_COLS = ", ".join(f"{mask} AS {name}" for name, mask in FLAGS.items())
 _LINE = (
-    f"invoice_no, stock_code, description, quantity, {_TS}, {_PRICE}, "
+    f"invoice_no, stock_code, description, {dbl('quantity')} AS quantity, {_TS}, {_PRICE}, "
     f"{dbl('customer_id')} AS customer_id, country, source_sheet"
 )
 
@@ -45,8 +45,6 @@ _DRIVER = (
     "factor, label, meaning, value_comparison, value_current, change_pct, contribution, "
     "share_of_change_pct"
 )
-H = PROFILE.retention_horizon
-MIN_COHORT = PROFILE.min_cohort_customers
 
 
 def _pct(cur: str, cmp: str) -> str:
@@ -82,7 +80,7 @@ QUERIES["staging"] = f"SELECT source_row_id, {_LINE} FROM staged"
 QUERIES["coercion_failures"] = """
 SELECT * FROM (
   SELECT 'invoice_ts' AS column_name, count(*) FILTER (InvoiceDate IS NOT NULL AND TRY_CAST(InvoiceDate AS TIMESTAMP) IS NULL) AS failures FROM raw
-  UNION ALL SELECT 'quantity', count(*) FILTER (Quantity IS NOT NULL AND TRY_CAST(Quantity AS BIGINT) IS NULL) FROM raw
+  UNION ALL SELECT 'quantity', count(*) FILTER (Quantity IS NOT NULL AND TRY_CAST(Quantity AS DECIMAL(18,6)) IS NULL) FROM raw
   UNION ALL SELECT 'unit_price', count(*) FILTER (Price IS NOT NULL AND TRY_CAST(Price AS DECIMAL(18,6)) IS NULL) FROM raw)
 WHERE failures > 0"""
 QUERIES["multi_source_union"] = """
@@ -91,11 +89,34 @@ SELECT Invoice AS invoice_no, StockCode AS stock_code, Description AS descriptio
        CASE WHEN starts_with(Invoice, 'C') THEN 'credit notes' ELSE 'sales' END AS source_sheet
 FROM raw"""
 QUERIES["run_context"] = f"""
-SELECT 'SYNTHETIC DEMO SAMPLE' AS source_label, true AS is_synthetic, 'GBP' AS currency,
-       {big(PROFILE.top_n)} AS top_n, {big(H)} AS retention_horizon,
+SELECT 'KPI steering' AS project, '' AS owner, 'SYNTHETIC DEMO SAMPLE' AS source_label, true AS is_synthetic,
+       'sheet1' AS source_files, 'GBP' AS currency, 0::BIGINT AS malformed_records,
+       (SELECT count(*) FROM raw WHERE InvoiceDate IS NOT NULL AND TRY_CAST(InvoiceDate AS TIMESTAMP) IS NULL) AS failed_invoice_ts,
+       (SELECT count(*) FROM raw WHERE Quantity IS NOT NULL AND TRY_CAST(Quantity AS DECIMAL(18,6)) IS NULL) AS failed_quantity,
+       (SELECT count(*) FROM raw WHERE Price IS NOT NULL AND TRY_CAST(Price AS DECIMAL(18,6)) IS NULL) AS failed_unit_price,
+       {big(TOP_N)} AS top_n, {big(H)} AS retention_horizon,
        rows_in AS rows_read, rows_quarantined, {ratio('rows_quarantined', 'rows_in', 3, 100.0)} AS quarantine_rate,
        dq_score, q.*, {_BRIDGE}
 FROM conserved, score, ({_period('period')}) q, cur_row c, cmp_row p"""
+# Two exports with their columns in different order, and one of broken records.
+QUERIES["delimited_scan"] = """
+SELECT Invoice AS invoice_no, StockCode AS stock_code, Description AS description, Quantity AS quantity,
+       nullif(InvoiceDate, 'n/a') AS invoice_ts, Price AS unit_price, CAST(CustomerID AS DOUBLE) AS customer_id, Country AS country,
+       CASE WHEN starts_with(Invoice, 'C') THEN 'credit_notes' ELSE 'sales' END AS export
+FROM raw WHERE Invoice IS NOT NULL"""
+QUERIES["delimited_rejects"] = """
+SELECT 'broken' AS export, concat_ws(',', StockCode, Country) AS record, count(*) AS records
+FROM raw WHERE Invoice IS NULL GROUP BY ALL"""
+# Every quantity gets a half: 2.5 pieces at 2.00 are 5.00.
+QUERIES["fractional_lines"] = """
+SELECT invoice_no, stock_code, CAST(q AS DOUBLE) AS quantity, CAST(p AS DOUBLE) AS unit_price, CAST(a AS DOUBLE) AS line_amount,
+       CAST(CASE WHEN q < 0 THEN 0 ELSE a END AS DOUBLE) AS gross_amount, CAST(CASE WHEN q < 0 THEN -a ELSE 0 END AS DOUBLE) AS return_amount,
+       CAST(CASE WHEN q < 0 THEN 0 ELSE q END AS DOUBLE) AS units_sold, CAST(CASE WHEN q < 0 THEN -q ELSE 0 END AS DOUBLE) AS units_returned,
+       q < 0 AS is_return
+FROM (SELECT invoice_no, stock_code, q, p, CAST(q * p AS DECIMAL(18,4)) AS a
+      FROM (SELECT Invoice AS invoice_no, upper(StockCode) AS stock_code, CAST(CAST(Quantity || '.5' AS DECIMAL(18,6)) AS DECIMAL(20,6)) AS q,
+                   CAST(Price AS DECIMAL(18,6)) AS p FROM raw))"""
+QUERIES["source_provenance"] = "SELECT source_sheet, count(*) AS row_count, true AS is_synthetic FROM staged GROUP BY 1"
 QUERIES["mart_row_counts"] = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {cte}"
     for name, cte in (
@@ -115,25 +136,32 @@ UNION ALL SELECT 'dim_customer', count(*) + 1 FROM customers
 UNION ALL SELECT 'dim_product', count(*) FROM products
 UNION ALL SELECT 'fct_sales_line', count(*) FROM fact
 UNION ALL SELECT 'kpi_monthly', count(*) FROM kpi"""
+# What readers of a release find: the star schema, both sides of the quarantine, and all marts.
+QUERIES["published_release"] = (
+    f"{QUERIES['warehouse_inventory']} UNION ALL {QUERIES['mart_row_counts']} "
+    f"UNION ALL SELECT 'coercion_failures', count(*) FROM ({QUERIES['coercion_failures']}) UNION ALL SELECT 'bad_records', 0 "
+    "UNION ALL SELECT 'sources', count(DISTINCT source_sheet) FROM staged"
+)
 
 # -- data quality -------------------------------------------------------------------
 
 QUERIES["dq_report"] = "SELECT * REPLACE (CAST(weight AS BIGINT) AS weight) FROM report"
 QUERIES["dq_score"] = "SELECT dq_score FROM score"
+QUERIES["score_gate"] = f"SELECT dq_score, {SCORE_FLOOR}::DOUBLE AS floor, dq_score >= {SCORE_FLOOR} AS passed FROM score"
 QUERIES["dq_conservation"] = "SELECT * FROM conserved"
 QUERIES["dq_duplicates"] = (
-    f"SELECT invoice_no, stock_code, quantity, {_PRICE}, {_TS}, count(*) AS surplus_copies "
-    "FROM judged WHERE f010 GROUP BY invoice_no, stock_code, quantity, judged.unit_price, judged.invoice_ts"
+    f"SELECT invoice_no, stock_code, {dbl('quantity')} AS quantity, {_PRICE}, {_TS}, count(*) AS surplus_copies "
+    "FROM judged WHERE f010 GROUP BY invoice_no, stock_code, judged.quantity, judged.unit_price, judged.invoice_ts"
 )
-QUERIES["dq_fix_mode_fill"] = f"SELECT invoice_no, stock_code, quantity, {_TS}, description FROM judged WHERE f012"
-QUERIES["dq_fix_normalise"] = f"SELECT invoice_no, stock_code, quantity, {_TS}, description FROM judged WHERE f013"
+QUERIES["dq_fix_mode_fill"] = f"SELECT invoice_no, stock_code, {dbl('quantity')} AS quantity, {_TS}, description FROM judged WHERE f012"
+QUERIES["dq_fix_normalise"] = f"SELECT invoice_no, stock_code, {dbl('quantity')} AS quantity, {_TS}, description FROM judged WHERE f013"
 QUERIES["dq_flag_counts"] = " UNION ALL ".join(
     f"SELECT '{name}' AS flag_name, count(*) FILTER ({mask}) AS rows_flagged, "
     f"count(*) FILTER ({mask} AND reason IS NULL) AS clean_rows_flagged FROM judged"
     for name, mask in FLAGS.items()
 )
-QUERIES["dq_quarantine"] = f"SELECT {_LINE}, {_FLAG_COLS}, reason AS quarantine_rule_id FROM judged WHERE reason IS NOT NULL"
-QUERIES["dq_clean"] = f"SELECT {_LINE}, {_FLAG_COLS} FROM clean"
+QUERIES["dq_quarantine"] = f"SELECT source_row_id, {_LINE}, {_FLAG_COLS}, reason AS quarantine_rule_id FROM judged WHERE reason IS NOT NULL"
+QUERIES["dq_clean"] = f"SELECT source_row_id, {_LINE}, {_FLAG_COLS} FROM clean"
 QUERIES["dq_rules_fired"] = (
     "SELECT rule_id, name, dimension, severity, action, rows_failed, fail_rate_pct FROM report WHERE rows_failed > 0"
 )
@@ -161,9 +189,8 @@ FROM customers
 UNION ALL SELECT -1, NULL, 'Unidentified', NULL, -1, 'guest', true"""
 QUERIES["dim_product"] = "SELECT product_key, stock_code, description, is_non_product, product_family FROM products"
 QUERIES["fct_sales_line"] = f"""
-SELECT invoice_no, invoice_base, date_key, month_key, customer_key, product_key, quantity,
-       {doubles(('unit_price', 'line_amount', 'gross_amount', 'return_amount'))},
-       {big('units_sold')} AS units_sold, {big('units_returned')} AS units_returned, is_return, is_cancellation_doc,
+SELECT sales_line_key, source_row_id, invoice_no, invoice_base, date_key, month_key, customer_key, product_key,
+       {doubles(('quantity', 'unit_price', 'line_amount', 'gross_amount', 'return_amount', 'units_sold', 'units_returned'))}, is_return, is_cancellation_doc,
        {', '.join(FLAGS)}
 FROM fact"""
 QUERIES["referential_integrity"] = """
@@ -201,7 +228,7 @@ QUERIES["mart_customer_concentration"] = (
 )
 QUERIES["mart_reconciliation"] = "SELECT * FROM recon"
 QUERIES["reconciliation_breaches"] = (
-    f"SELECT * FROM recon WHERE abs(difference) > {PROFILE.reconciliation_tolerance}"
+    f"SELECT * FROM recon WHERE abs(difference) > {TOLERANCE}"
 )
 
 # -- analysis -----------------------------------------------------------------------
@@ -340,9 +367,14 @@ FROM (SELECT 0 AS position, 'start' AS label, {dbl('net_revenue_identified')} AS
 QUERIES["returns_trend_focus"] = """
 SELECT month_key, month_label, product_family, return_rate_pct FROM family_months
 WHERE product_family IN (SELECT product_family FROM family ORDER BY gross_revenue_cur DESC, product_family LIMIT 6)"""
+QUERIES["returns_table"] = """
+SELECT product_family, CAST(gross_revenue_cur AS DOUBLE) AS gross_revenue_cur, return_rate_cmp_pct, return_rate_cur_pct, excess_returns_value
+FROM family ORDER BY excess_returns_value DESC NULLS LAST, product_family LIMIT 8"""
+QUERIES["export_roundtrip"] = QUERIES["mart_product_period"]
+QUERIES["json_records"] = QUERIES["mart_returns_family"]
 QUERIES["pareto_top_n"] = f"""
 SELECT stock_code, description, {dbl('net_revenue_cur')} AS net_revenue_cur, cumulative_revenue_share_pct
-FROM product_period WHERE is_non_product = 0 ORDER BY product_period.net_revenue_cur DESC, product_key LIMIT {PROFILE.top_n}"""
+FROM product_period WHERE is_non_product = 0 ORDER BY product_period.net_revenue_cur DESC, product_key LIMIT {TOP_N}"""
 QUERIES["cohort_grid"] = f"""
 SELECT strftime(make_date(cohort_month_key // 100, cohort_month_key % 100, 1), '%Y-%m') AS cohort,
        {', '.join(f'max(retention_pct) FILTER (months_since_first_order = {o}) AS m{o}' for o in range(13))}

@@ -8,8 +8,8 @@ from __future__ import annotations
 
 import re
 
-from kpiloom.quality.rules import DEFAULT_RULES
-from kpiloom.sources.testdata import PROFILE, RAW_LINES_SQL, TABLES
+from kpiloom.sources.testdata import RAW_LINES_SQL, TABLES
+from oracle import profile
 
 RAW_COLS = "Invoice, StockCode, Description, Quantity, InvoiceDate, Price, CustomerID, Country"
 
@@ -49,10 +49,10 @@ def strip(col: str) -> str:
     return rf"regexp_replace({col}, '^\s+|\s+$', '', 'g')"
 
 
-NON_PRODUCT = text_list(PROFILE.non_product_codes_upper)
+NON_PRODUCT = text_list(profile.NON_PRODUCT_CODES)
 FAMILY = (
     f"CASE WHEN upper(stock_code) IN ({NON_PRODUCT}) THEN 'NON_PRODUCT' "
-    + " ".join(f"WHEN contains(upper(description), '{t}') THEN '{t}'" for t in PROFILE.family_tokens)
+    + " ".join(f"WHEN contains(upper(description), '{t}') THEN '{t}'" for t in profile.FAMILY_TOKENS)
     + " ELSE 'OTHER' END"
 )
 
@@ -77,7 +77,7 @@ BASE["typed"] = f"""
 SELECT nullif({strip('Invoice')}, '') AS invoice_no,
        upper(nullif({strip('StockCode')}, '')) AS stock_code,
        nullif({strip('Description')}, '') AS description,
-       TRY_CAST(Quantity AS BIGINT) AS quantity,
+       TRY_CAST(Quantity AS DECIMAL(18,6)) AS quantity,
        TRY_CAST(InvoiceDate AS TIMESTAMP) AS invoice_ts,
        TRY_CAST(Price AS DECIMAL(18,6)) AS unit_price,
        TRY_CAST(CustomerID AS BIGINT) AS customer_id,
@@ -112,8 +112,8 @@ SELECT *,
        coalesce(unit_price <= 0, false) AND NOT coalesce(upper(stock_code) IN ({NON_PRODUCT}), false) AS f006,
        NOT coalesce(upper(stock_code) IN ({NON_PRODUCT}), false) AS s006,
        customer_id IS NULL AS f007,
-       coalesce(abs(quantity) > {PROFILE.quantity_outlier_threshold}, false) AS f008,
-       coalesce(unit_price > {PROFILE.price_outlier_threshold}, false) AS f009,
+       coalesce(abs(quantity) > {profile.QUANTITY_OUTLIER}, false) AS f008,
+       coalesce(unit_price > {profile.PRICE_OUTLIER}, false) AS f009,
        coalesce(starts_with(invoice_no, 'C'), false) AS s011,
        coalesce(starts_with(invoice_no, 'C') AND quantity > 0, false) AS f011,
        invoice_no IS NULL AS f001,
@@ -171,14 +171,14 @@ FROM (SELECT stock_code, coalesce(description, 'UNKNOWN PRODUCT') AS description
 WHERE place = 1"""
 
 BASE["fact"] = """
-SELECT l.invoice_no, ltrim(l.invoice_no, 'C') AS invoice_base,
+SELECT row_number() OVER (ORDER BY l.source_row_id) AS sales_line_key, l.source_row_id, l.invoice_no, ltrim(l.invoice_no, 'C') AS invoice_base,
        year(l.invoice_ts) * 10000 + month(l.invoice_ts) * 100 + day(l.invoice_ts) AS date_key,
        year(l.invoice_ts) * 100 + month(l.invoice_ts) AS month_key,
        coalesce(c.customer_key, -1) AS customer_key, p.product_key,
        l.quantity, l.unit_price,
-       CAST(l.quantity * CAST(l.unit_price AS DECIMAL(18,4)) AS DECIMAL(18,4)) AS line_amount,
-       CASE WHEN l.quantity < 0 THEN 0 ELSE CAST(l.quantity * CAST(l.unit_price AS DECIMAL(18,4)) AS DECIMAL(18,4)) END AS gross_amount,
-       CASE WHEN l.quantity < 0 THEN -CAST(l.quantity * CAST(l.unit_price AS DECIMAL(18,4)) AS DECIMAL(18,4)) ELSE 0 END AS return_amount,
+       CAST(CAST(l.quantity AS DECIMAL(20,6)) * l.unit_price AS DECIMAL(18,4)) AS line_amount,
+       CASE WHEN l.quantity < 0 THEN 0 ELSE CAST(CAST(l.quantity AS DECIMAL(20,6)) * l.unit_price AS DECIMAL(18,4)) END AS gross_amount,
+       CASE WHEN l.quantity < 0 THEN -CAST(CAST(l.quantity AS DECIMAL(20,6)) * l.unit_price AS DECIMAL(18,4)) ELSE 0 END AS return_amount,
        CASE WHEN l.quantity < 0 THEN 0 ELSE l.quantity END AS units_sold,
        CASE WHEN l.quantity < 0 THEN -l.quantity ELSE 0 END AS units_returned,
        l.quantity < 0 AS is_return,
@@ -196,9 +196,9 @@ _KPI_EXPR = {
     "net_revenue_guest": cents("net_guest"),
     "net_revenue_identified": cents("net_id"),
     "gross_revenue_identified": cents("gross_id"),
-    "units_gross": big("units"),
-    "units_returned": big("units_back"),
-    "units_gross_identified": big("units_id"),
+    "units_gross": dbl("units"),
+    "units_returned": dbl("units_back"),
+    "units_gross_identified": dbl("units_id"),
     "orders": big("orders"),
     "orders_identified": big("orders_id"),
     "credit_notes": big("credits"),
@@ -283,7 +283,7 @@ FROM (SELECT p.product_key, p.stock_code, p.description, p.product_family,
              {cents('net_cur - net_cmp')} AS net_revenue_delta,
              {cents('gross_cur')} AS gross_revenue_cur, {cents('gross_cmp')} AS gross_revenue_cmp,
              {cents('ret_cur')} AS returns_cur, {cents('ret_cmp')} AS returns_cmp,
-             {big('units_cur')} AS units_cur, {big('units_cmp')} AS units_cmp, {big('orders_cur')} AS orders_cur,
+             {dbl('units_cur')} AS units_cur, {dbl('units_cmp')} AS units_cmp, {big('orders_cur')} AS orders_cur,
              {ratio('ret_cur', 'gross_cur', 2, 100.0)} AS return_rate_cur_pct,
              {ratio('ret_cmp', 'gross_cmp', 2, 100.0)} AS return_rate_cmp_pct,
              {ratio('net_cur - net_cmp', 'abs(net_cmp)', 2, 100.0)} AS net_revenue_change_pct
@@ -308,7 +308,7 @@ FROM (SELECT p.product_family, {_sums({k: v for k, v in _PRODUCT_SUMS.items() if
 WHERE gross_cur >= {floor}"""
 
 
-BASE["family"] = family_sql(PROFILE.min_revenue_for_return_rate)
+BASE["family"] = family_sql(profile.MIN_REVENUE)
 # The shipped floor is far below any family here; this one leaves some families out.
 GUARD_FLOOR = 2_000_000.0
 BASE["family_guarded"] = family_sql(GUARD_FLOOR)
@@ -461,15 +461,14 @@ BASE["chain"] = _chain()
 def _report() -> str:
     scoped = {"DQ006": "s006", "DQ011": "s011"}
     rows = []
-    for rule in DEFAULT_RULES:
-        bad = f"f{rule.id[2:]}"
-        checked = f"count(*) FILTER ({scoped[rule.id]})" if rule.id in scoped else "count(*)"
-        rationale = rule.rationale.replace("'", "''")
+    for rule_id, name, dimension, severity, action, rationale in profile.RULES:
+        checked = f"count(*) FILTER ({scoped[rule_id]})" if rule_id in scoped else "count(*)"
+        rationale = rationale.replace("'", "''")
         rows.append(
-            f"SELECT '{rule.id}' AS rule_id, '{rule.name}' AS name, '{rule.dimension}' AS dimension, "
-            f"'{rule.severity}' AS severity, '{rule.action}' AS action, "
-            f"{dict(blocker=5, major=3, minor=1)[rule.severity]} AS weight, {checked} AS rows_checked, "
-            f"count(*) FILTER ({bad}) AS rows_failed, '{rationale}' AS rationale FROM judged"
+            f"SELECT '{rule_id}' AS rule_id, '{name}' AS name, '{dimension}' AS dimension, "
+            f"'{severity}' AS severity, '{action}' AS action, "
+            f"{dict(blocker=5, major=3, minor=1)[severity]} AS weight, {checked} AS rows_checked, "
+            f"count(*) FILTER (f{rule_id[2:]}) AS rows_failed, '{rationale}' AS rationale FROM judged"
         )
     inner = " UNION ALL ".join(rows)
     return (

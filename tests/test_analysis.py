@@ -214,7 +214,32 @@ def test_config_from_yaml(tmp_path):
         "analysis: {current_period: 201105, retention_window_months: 2}\n"
     )
     cfg = load_config(path)
-    assert (cfg.currency, cfg.source_label, cfg.cancellation_prefix) == ("EUR", "Orders", "K")
+    assert (cfg.currency, cfg.source_name, cfg.cancellation_prefix) == ("EUR", "Orders", "K")
     assert (cfg.non_product_stock_codes, cfg.guest_customer_key) == (("POST",), -9)
     assert (cfg.current_period, cfg.retention_horizon) == (201105, 2)
-    assert cfg.with_(is_synthetic=True).source_label == "SYNTHETIC DEMO SAMPLE"
+
+
+@pytest.mark.parametrize("text,message", [
+    ("business_rules: {quantity_outlier_treshold: 5}", "business_rules.quantity_outlier_treshold"),
+    ("analyses: {top_n: 5}", "unknown section 'analyses'"),
+])
+def test_misspelt_configuration_is_an_error(tmp_path, text, message):
+    path = tmp_path / "c.yml"
+    path.write_text(text, encoding="utf-8")
+    with pytest.raises(KeyError, match=message):
+        load_config(path)
+
+
+def test_configuration_of_other_tools_is_passed_over(tmp_path):
+    path = tmp_path / "c.yml"
+    path.write_text(
+        "source: {name: A, url: u, sample_csv: data/sample.csv.gz}\nwarehouse: {engine: x}\noutput: {a: b}\n", encoding="utf-8")
+    assert load_config(path) == Config(source_name="A", synthetic_sources=("sample.csv.gz",))
+
+
+def test_thresholds_are_looked_up_in_their_section():
+    assert Config().lookup("business_rules.quantity_outlier_threshold") == 1000
+    assert Config().lookup("analysis.retention_window_months") == 3
+    for wrong in ("analysis.quantity_outlier_threshold", "quantity_outlier_threshold", "business_rules.nothing", "x.top_n"):
+        with pytest.raises(KeyError):
+            Config().lookup(wrong)
