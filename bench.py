@@ -45,8 +45,9 @@ def main() -> None:
 
     cfg = PROFILE
     done: list[Warehouse] = []
-    with tempfile.TemporaryDirectory(prefix="bench-") as out:
-        timed("refresh", lambda: done.append(run(raw_lines(spark, sf_dir), cfg, out)))
+    # The published tables live in the folder, so it stays until the last query.
+    out = tempfile.TemporaryDirectory(prefix="bench-")
+    timed("refresh", lambda: done.append(run(raw_lines(spark, sf_dir), cfg, out.name)))
     w = done[0]
     rows = w.checked.count()
 
@@ -75,6 +76,7 @@ def main() -> None:
         "refresh_lines_per_sec": round(rows / timings["refresh"], 1),
     }))
     spark.stop()
+    out.cleanup()
 
 
 if __name__ == "__main__":

@@ -315,6 +315,7 @@ def reconciliation(fact: DataFrame, monthly: DataFrame) -> DataFrame:
         F.sum("orders").alias("m_orders"),
         money(F.sum(F.col("net_revenue_identified") + F.col("net_revenue_guest"))).alias("m_split"),
     )
+    # The labels of the six checks.
     checks = (
         ("fact rows", "f_rows", "f_rows"),
         ("net revenue", "f_net", "m_net"),

@@ -16,6 +16,7 @@ from kpiloom.quality.engine import CLEAN_PLACE, UNKNOWN_PRODUCT, data_columns
 from kpiloom.quality.rules import FLAG_COLUMNS
 from kpiloom.store import TableStore
 
+# Country and label of the guest member, families without a token.
 UNIDENTIFIED = "Unidentified"
 NON_PRODUCT_FAMILY = "NON_PRODUCT"
 OTHER_FAMILY = "OTHER"
@@ -93,6 +94,7 @@ def dim_date(clean: DataFrame) -> DataFrame:
 
 # -- customer -----------------------------------------------------------------------
 
+# Columns of the customer dimension.
 CUSTOMER_COLUMNS = (
     "customer_key", "customer_id", "country", "first_order_ts",
     "cohort_month_key", "cohort_label", "is_guest",
@@ -159,6 +161,7 @@ def dim_product(clean: DataFrame, cfg: Config, store: TableStore) -> DataFrame:
 
 # -- fact ---------------------------------------------------------------------------
 
+# Columns of the fact.
 FACT_COLUMNS = (
     "sales_line_key", "source_row_id", "invoice_no", "invoice_base", "date_key", "month_key",
     "customer_key", "product_key", "quantity", "unit_price", "line_amount", "gross_amount",

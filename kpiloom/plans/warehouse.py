@@ -36,7 +36,7 @@ PUBLISHED = (
 
 def together(*actions: Callable[[], object]) -> list[object]:
     """Submit independent Spark actions side by side; small jobs then share the cores."""
-    with ThreadPoolExecutor(max_workers=6) as pool:
+    with ThreadPoolExecutor(max_workers=16) as pool:
         return list(pool.map(lambda action: action(), actions))
 
 
@@ -169,7 +169,10 @@ class Warehouse:
     def prepare(self) -> None:
         """Write the star schema and the monthly mart."""
         self.checked
-        together(lambda: self.dim_date, lambda: self.dim_customer, lambda: self.dim_product)
+        together(
+            lambda: self.dim_date, lambda: self.dim_customer, lambda: self.dim_product,
+            lambda: self.sources, lambda: self.coercion_failures, lambda: self.bad_records,
+        )
         self.fct_sales_line
         self.kpi_monthly
         self.periods
@@ -361,16 +364,17 @@ def publish(warehouse: Warehouse, release: Release, published: dict[str, DataFra
             release.write(name, df)
 
     shown = {**warehouse.dashboard(), "run_context": warehouse.run_context()}
-    together(
+    context = warehouse.run_context().select("source_label", "is_synthetic", "rows_read", "rows_quarantined", "dq_score")
+    *_, facts = together(
         *[lambda n=n, df=df: table(n, df) for n, df in {**warehouse.star_schema(), **published}.items()],
         *[lambda n=n, df=df: release.write(f"marts/{n}", df, "csv") for n, df in published.items()],
         *[
             lambda n=n, df=df: release.write(f"dashboard/{n}", datasets.json_records(df), "text")
             for n, df in shown.items()
         ],
+        lambda: context.first().asDict(),
     )
-    context = shown["run_context"].select("source_label", "is_synthetic", "rows_read", "rows_quarantined", "dq_score").first()
-    release.switch(context.asDict())
+    release.switch(facts)
 
 
 def run(
