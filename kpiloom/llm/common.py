@@ -10,6 +10,8 @@ from __future__ import annotations
 import sys
 import types
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,25 +38,61 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders written while a ``scratch`` is open, the innermost one last.
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[list[str]]:
+    """Collects the folders that ``cut`` and ``stored`` write, for ``remove`` once all is consumed."""
+    made: list[str] = []
+    _OPEN.append(made)
+    try:
+        yield made
+    finally:
+        _OPEN.remove(made)
+
+
+def remove(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete intermediate files and let Spark drop the shuffles that nothing refers to."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    spark._jvm.System.gc()
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete the files of results of ``cut`` or ``stored`` that no later step reads."""
+    remove(tables[0].sparkSession, [t._written for t in tables])
+
+
+def _noted(df: DataFrame, path: str) -> DataFrame:
+    df._written = path
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return df
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint into the shared folder; the files go when nothing refers to them."""
+    """Checkpoint into the shared folder; the files stay until ``forget`` or ``remove``."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)
+    return _noted(done, done._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get())
 
 
 def stored(df: DataFrame) -> DataFrame:
     """Cut the lineage like ``cut``, in packed columns: for tables with a row per window or word.
 
-    The files stay until the application ends.
+    The files stay until ``forget`` or ``remove``, or the application ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    return _noted(spark.read.schema(df.schema).parquet(path), path)
 
 
 def value_key(text: str = "text") -> Column:
