@@ -51,6 +51,8 @@ def scratch() -> Iterator[list[str]]:
         yield made
     finally:
         _OPEN.remove(made)
+        if _OPEN:
+            _OPEN[-1].extend(made)
 
 
 def remove(spark: SparkSession, paths: Iterable[str]) -> None:
@@ -66,6 +68,12 @@ def forget(*tables: DataFrame) -> None:
     remove(tables[0].sparkSession, [t._written for t in tables])
 
 
+def forget_all_but(made: Iterable[str], *tables: DataFrame) -> None:
+    """Delete what a ``scratch`` collected so far, apart from the files of ``tables``."""
+    needed = {t._written for t in tables}
+    remove(tables[0].sparkSession, [path for path in made if path not in needed])
+
+
 def _noted(df: DataFrame, path: str) -> DataFrame:
     df._written = path
     if _OPEN:

@@ -152,7 +152,10 @@ def op6_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return suffix_dedup.remove_repeated(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    # A cut can fall inside a character, so the remaining text shows what is left of one as U+FFFD.
+    return suffix_dedup.remove_repeated(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256",
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 def op8_page_templates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,8 +13,8 @@ per run (some 185 windows) in place of one per byte.
    different places are repeated as a whole; a gram with one context is finished.
 2. Next digits: runs whose gram has several contexts bring those bytes along and are compared
    window by window in groups of one gram.
-3. A gram with more than ``group`` different contexts is not gathered: its windows become rows of
-   their own, and a two-step aggregate finds those that are in two places.
+3. A gram with more than ``group`` different contexts is not gathered: each task compares the windows
+   it meets, and one row per task and window is sorted to find those that only meet elsewhere.
 
 Texts are keyed by their hash, so copies of a text are handled once; a text that two rows have is
 repeated throughout. Everything that is gathered belongs to one text or to ``group`` runs.
@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import cut, mix, prefix_sums, range_hashes, utf8, value_key, without
+from kpiloom.llm.common import cut, forget, mix, prefix_sums, range_hashes, stored, utf8, value_key, without
 
 _CHUNK = 1 << 23
 _PLACE = np.uint64((1 << 24) - 1)
@@ -134,9 +134,11 @@ def _spans_of(hits: np.ndarray, first: int, settings: Settings) -> list[tuple[in
 def spans(docs: DataFrame, settings: Settings = Settings(), keys: DataFrame | None = None) -> DataFrame:
     """_key, low, high: byte spans of texts that are repeated in another text or place."""
     keys = cut(_keys(docs)) if keys is None else keys
-    every = cut(_runs(docs, settings)).select("_key", F.inline(F.arrays_zip("gram", "context", "first", "n")))
+    per_text = cut(_runs(docs, settings))
+    every = per_text.select("_key", F.inline(F.arrays_zip("gram", "context", "first", "n")))
     often = every.groupBy("gram").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     rows = cut(every.join(often, "gram", "left_semi"))
+    forget(per_text)
     place = F.xxhash64("_key", "first")
     contexts = cut(rows.groupBy("gram", "context").agg(
         (F.min(place) != F.max(place)).alias("done"),
@@ -164,7 +166,8 @@ def spans(docs: DataFrame, settings: Settings = Settings(), keys: DataFrame | No
                 yield pd.DataFrame(out, columns=["gram", "done", "large", "_key", "first", "n", "segment"])
 
     shape = "gram long, done boolean, large boolean, _key long, first int, n int"
-    brought = found.select("_key", "text", "_runs").mapInPandas(segments, f"{shape}, segment binary")
+    # Written once: the groups of either size read it, and texts are shuffled a single time.
+    brought = stored(found.select("_key", "text", "_runs").mapInPandas(segments, f"{shape}, segment binary"))
 
     def compare(groups: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Sorted by gram: groups are cut out of the stream, the last one waits for its rest."""
@@ -199,23 +202,62 @@ def spans(docs: DataFrame, settings: Settings = Settings(), keys: DataFrame | No
             yield pd.DataFrame(told(pd.concat(held)), columns=["_key", "low", "high"])
 
     def rows_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Windows that a batch has in two places, as spans, and one place of each window for the others.
+
+        So a window that very many texts have leaves a batch as one row.
+        """
+        for frame in frames:
+            frame = frame.drop_duplicates(["_key", "first"])
+            if not len(frame):
+                continue
+            n = frame["n"].to_numpy()
+            window = np.concatenate([_windows_of(settings, s, k) for s, k in zip(frame["segment"], n)])
+            ends = np.cumsum(n)
+            low = np.repeat(frame["first"].to_numpy(np.int64) - (ends - n), n) + np.arange(len(window))
+            values, place, back, counts = np.unique(window, return_index=True, return_inverse=True, return_counts=True)
+            repeated = counts[back] > 1
+            spans = [
+                (key, *s) for key, first, z, k in zip(frame["_key"], frame["first"], ends, n)
+                for s in _spans_of(repeated[z - k : z], int(first), settings)]
+            yield pd.DataFrame({
+                "window": values.view(np.int64), "_key": np.repeat(frame["_key"].to_numpy(), n)[place], "low": low[place],
+                "high": np.full(len(values), -1)})
+            if spans:
+                key, low, high = zip(*spans)
+                yield pd.DataFrame({"window": 0, "_key": key, "low": low, "high": high})
+
+    def in_two(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Sorted by window: the rows whose window another row has at another place."""
+        held: tuple | None = None
+        told = True
         for frame in frames:
-            for key, first, n, segment in zip(frame["_key"], frame["first"], frame["n"], frame["segment"]):
-                yield pd.DataFrame({
-                    "window": _windows_of(settings, segment, n).view(np.int64), "_key": np.full(n, key),
-                    "low": first + np.arange(n)})
+            if not len(frame):
+                continue
+            window, key, low = (frame[c].to_numpy() for c in ("window", "_key", "low"))
+            if held is not None:
+                window, key, low = (np.append(x, y) for x, y in zip(held, (window, key, low)))
+            start = np.append(True, window[1:] != window[:-1])
+            run = np.cumsum(start) - 1
+            first = np.flatnonzero(start)
+            other = (key != key[first][run]) | (low != low[first][run])
+            several = np.logical_or.reduceat(other, first)
+            if held is not None and told:
+                several[0] = True
+            mark = several[run]
+            if held is not None and told:
+                mark[0] = False
+            yield pd.DataFrame({"_key": key[mark], "low": low[mark], "high": low[mark] + settings.threshold})
+            at = first[-1]
+            held, told = (window[at : at + 1], key[at : at + 1], low[at : at + 1]), bool(several[-1])
 
     small = brought.where("NOT large").repartition("gram").sortWithinPartitions("gram").mapInPandas(
         compare, "_key long, low long, high long")
     if not kinds.where(F.col("_kinds") > settings.group).limit(1).count():
         return whole.union(small)
-    # Their texts are read once more rather than kept for both.
-    single = cut(brought.where("large").mapInPandas(rows_of, "window long, _key long, low long"))
-    here = F.struct("_key", "low")
-    both = single.groupBy("window").agg(F.min(here).alias("_a"), F.max(here).alias("_z")).where("_a <> _z")
-    large = single.join(both.select("window"), "window", "left_semi").select(
-        "_key", "low", (F.col("low") + settings.threshold).alias("high"))
-    return whole.union(small).union(large)
+    single = stored(brought.where("large").mapInPandas(rows_of, "window long, _key long, low long, high long"))
+    beside = single.where("high < 0").select("window", "_key", "low").repartition("window").sortWithinPartitions(
+        "window", "_key", "low").mapInPandas(in_two, "_key long, low long, high long")
+    return whole.union(small).union(single.where("high >= 0").select("_key", "low", "high")).union(beside)
 
 
 def remove_repeated(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -115,7 +115,7 @@ def test_few_candidates_are_all_returned(spark):
 
 def test_registered_queries_cover_their_tables(spark):
     registered = queries.registered()
-    assert [n.split("_")[0] for n in registered] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in registered] == [f"op{k}" for k in range(1, 14)]
     assert set(queries.statements()) <= set(registered)
 
 
