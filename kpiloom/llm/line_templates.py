@@ -44,7 +44,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import cut, mix, prefix_sums, range_hashes, utf8, value_key, without, word_bounds
+from kpiloom.llm.common import (
+    cut, forget_all_but, mix, prefix_sums, range_hashes, scratch, utf8, value_key, without, word_bounds,
+)
 
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
@@ -180,8 +182,8 @@ def _levels(spelled: DataFrame, settings: Settings) -> DataFrame:
     return held.join(most, "leaf").select("leaf", "place", "word", level.alias("level"))
 
 
-def drop_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``docs`` with shortened texts, plus n_lines and n_dropped; ``n_chars``, if there, is counted again."""
+def _templates(docs: DataFrame, settings: Settings) -> DataFrame:
+    """_key, no (line), leaf, template, context, _copies: the templates that each line of a busy leaf fits."""
     placed = cut(_placed(_lines(docs, settings), settings))
     wanted = (
         placed.join(_recurring(placed, ["leaf"], settings).select("leaf"), "leaf", "left_semi")
@@ -224,7 +226,14 @@ def drop_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
                 F.min("_copies").over(upward).alias("_copies"))
         .where(F.col("_fixed") >= settings.min_constant * F.col("words"))
     )
-    templates = cut(templates)
+    return cut(templates)
+
+
+def drop_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """``docs`` with shortened texts, plus n_lines and n_dropped; ``n_chars``, if there, is counted again."""
+    with scratch() as made:
+        templates = _templates(docs, settings)
+        forget_all_but(made, templates)
     common = (
         templates.groupBy("leaf", "template", "context").agg(F.sum("_copies").alias("_n"))
         .groupBy("leaf", "template").agg(F.count(F.lit(1)).alias("_contexts"), F.sum("_n").alias("_docs"))
