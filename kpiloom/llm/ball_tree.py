@@ -10,7 +10,8 @@ home; the kth score found there is shared with all other shards as their startin
 Queries meet the shards in blocks of ``block`` queries: a task holds one shard and one block. The
 results of a query, at most k from each shard, are ranked by a window.
 
-Scores are integer inner products of ``floor(scale * x)``; ties go to the smaller id. Defined
+Scores are integer inner products of ``floor(scale * x)``, exact at any size; one that no long
+holds counts as the long nearest to it. Ties go to the smaller id. Defined
 results: vectors that are NULL or hold NULL or non-finite components, and rows without an id,
 take no part; rows that agree in id and vector count once; only vectors of a query's length are
 its candidates; a query with fewer candidates returns them all; an empty table gives an empty
@@ -38,6 +39,23 @@ class Settings:
     leaf: int = 64
 
 
+#: Below every score.
+NOTHING = int(np.iinfo(np.int64).min)
+
+
+def exact_type(*scaled: np.ndarray) -> type:
+    """What holds all inner products of integral vectors exactly: doubles (fast), longs, or integers of any size."""
+    most = max((float(np.abs(x).max()) for x in scaled if x.size), default=0.0)
+    largest = most * most * scaled[0].shape[1]
+    return float if largest < 2.0**53 else np.int64 if largest < 2.0**62 else object
+
+
+def whole(scaled: np.ndarray, kind: type) -> np.ndarray:
+    if kind is object:
+        return np.array([[int(x) for x in row] for row in scaled], dtype=object).reshape(scaled.shape)
+    return scaled.astype(kind)
+
+
 class BallTree:
     """Arrays of nodes: centre, radius, children, and the row range of leaves."""
 
@@ -74,26 +92,34 @@ class BallTree:
         return node
 
     def search(self, ids: np.ndarray, queries: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Best (scores, ids) per query; -inf where there are fewer than k. ``floor``: known kth scores."""
-        best = np.full((len(ids), k), -np.inf)
+        """Best (scores, ids) per query; ``NOTHING`` where there are fewer than k. ``floor``: known kth scores.
+
+        Bounds are doubles with some slack; scores are exact in the type that holds them.
+        """
+        kind = exact_type(self.rows, queries)
+        rows, asked = (whole(x, kind) for x in (self.rows, queries))
+        best = np.full((len(ids), k), NOTHING, dtype=float if kind is float else np.int64)
         names = np.full((len(ids), k), np.iinfo(np.int64).max)
         length = np.sqrt((queries**2).sum(axis=1))
         bounds = queries @ self.centre.T + length[:, None] * self.radius[None, :]
         slack = 1e-9 * (np.abs(bounds) + 1)
-        bounds += slack
+        bounds = np.nan_to_num(np.maximum(bounds + slack, float(NOTHING)), nan=np.inf, posinf=np.inf)
 
         def walk(node: int, active: np.ndarray) -> None:
-            active = active[bounds[active, node] >= np.maximum(best[active, -1], floor[active])]
+            active = active[bounds[active, node] >= np.maximum(best[active, -1].astype(float), floor[active])]
             if not len(active):
                 return
             below = self.children[node]
             if below is None:
                 a, z = self.ranges[node]
-                scores = queries[active] @ self.rows[a:z].T
-                scores[ids[active][:, None] == self.ids[a:z][None, :]] = -np.inf
+                scores = asked[active] @ rows[a:z].T
+                if kind is object:
+                    scores = np.array([[min(max(s, NOTHING + 1), -NOTHING - 1) for s in row] for row in scores], dtype=np.int64)
+                scores[ids[active][:, None] == self.ids[a:z][None, :]] = NOTHING
                 scores = np.concatenate((best[active], scores), axis=1)
                 those = np.concatenate((names[active], np.broadcast_to(self.ids[a:z], (len(active), z - a))), axis=1)
-                order = np.lexsort((those, -scores), axis=-1)[:, :k]
+                place = -scores if kind is float else -np.unique(scores, return_inverse=True)[1].reshape(scores.shape)
+                order = np.lexsort((those, place), axis=-1)[:, :k]
                 best[active] = np.take_along_axis(scores, order, axis=1)
                 names[active] = np.take_along_axis(those, order, axis=1)
                 return
@@ -110,14 +136,11 @@ def _search(candidates: pd.DataFrame, queries: pd.DataFrame, settings: Settings)
     if not len(candidates) or not len(queries):
         return pd.DataFrame({c: pd.Series(dtype="int64") for c in columns})
     scaled = [np.floor(np.stack(f["vector"].tolist()) * settings.scale) for f in (candidates, queries)]
-    if max(np.abs(x).max() for x in scaled) ** 2 * scaled[0].shape[1] >= 2.0**53:
-        raise ValueError("vector components are too large for exact integer scores")
-    ids = queries["vec_id"].to_numpy(np.int64)
+    ids, bound = queries["vec_id"].to_numpy(np.int64), queries["bound"].to_numpy(np.int64)
     tree = BallTree(scaled[0], candidates["vec_id"].to_numpy(np.int64), settings.leaf)
-    best, names = tree.search(ids, scaled[1], queries["bound"].to_numpy(float), settings.k)
-    at, rank = np.nonzero(np.isfinite(best) & (best >= queries["bound"].to_numpy(float)[:, None]))
-    return pd.DataFrame({
-        "query_id": ids[at], "vec_id": names[at, rank], "score": best[at, rank].astype(np.int64)})
+    best, names = tree.search(ids, scaled[1], bound.astype(float), settings.k)
+    at, rank = np.nonzero((best > NOTHING) & (best >= bound[:, None]))
+    return pd.DataFrame({"query_id": ids[at], "vec_id": names[at, rank], "score": best[at, rank].astype(np.int64)})
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -152,12 +175,12 @@ def top_k(vectors: DataFrame, is_query: Column, settings: Settings = Settings())
 
     dealt = rows.withColumn("_shard", shard)
     first = cut(paired(
-        dealt, queries.select("vec_id", "vector", "dim", F.lit(float("-inf")).alias("bound"), home.alias("_shard")),
+        dealt, queries.select("vec_id", "vector", "dim", F.lit(NOTHING).alias("bound"), home.alias("_shard")),
         "dim", "_shard"))
     kth = first.groupBy("query_id").agg(
-        F.when(F.count(F.lit(1)) >= settings.k, F.min("score")).cast("double").alias("_kth"))
+        F.when(F.count(F.lit(1)) >= settings.k, F.min("score")).alias("_kth"))
     known = queries.join(kth.withColumnRenamed("query_id", "vec_id"), "vec_id", "left").select(
-        "vec_id", "vector", "dim", F.coalesce("_kth", F.lit(float("-inf"))).alias("bound"),
+        "vec_id", "vector", "dim", F.coalesce("_kth", F.lit(NOTHING)).alias("bound"),
         home.alias("_home"), F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks)).alias("_block"))
     others = known.withColumn("_shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))).where("_shard <> _home")
     copied = dealt.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))

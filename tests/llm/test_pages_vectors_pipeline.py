@@ -107,6 +107,23 @@ def test_top_k_is_exact(spark, settings):
     assert ball_tree.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+@pytest.mark.parametrize("size", [1e6, 3e7, 1e12, 1e300])
+def test_large_components_have_exact_scores(spark, size):
+    """Sums of products above 2^53, above 2^63, and far above what a long holds."""
+    rng = random.Random(int(np.log10(size)))
+    vectors = [[rng.uniform(-size, size) for _ in range(4)] for _ in range(120)] + [[size] * 4, [-size] * 4]
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>").repartition(3)
+    whole = [[int(np.floor(256 * x)) if abs(256 * x) < np.inf else 0 for x in v] for v in vectors]
+    got = {}
+    for r in ball_tree.top_k(df, F.col("vec_id") % 50 == 0, ball_tree.Settings(shard_rows=30, leaf=4)).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    low, high = -(1 << 63) + 1, (1 << 63) - 1
+    for q in range(0, len(vectors), 50):
+        exact = {i: sum(a * b for a, b in zip(whole[q], v)) for i, v in enumerate(whole) if i != q}
+        best = sorted((-min(max(s, low), high), i) for i, s in exact.items())[:5]
+        assert sorted(got[q]) == [(k, i, -s) for k, (s, i) in enumerate(best, start=1)]
+
+
 def test_few_candidates_are_all_returned(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 0.0]), (50, [1.0, 1.0, 1.0])], "vec_id long, embedding array<double>")
     got = [(r.query_id, r.rank, r.vec_id) for r in ball_tree.top_k(df, F.col("vec_id") % 50 == 0).collect()]
