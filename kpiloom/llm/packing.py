@@ -38,7 +38,6 @@ class Settings:
     window: int = 4096
     end_id: int = 2
     shard_tokens: int = 2_000_000
-    query_terms: int = 32
     k1: float = 1.2
     b: float = 0.75
     cached_words: int = 1_200_000
@@ -179,17 +178,20 @@ class _Index:
         idf = np.log1p((len(parts) - df + 0.5) / (df + 0.5))
         length = settings.k1 * (1 - settings.b + settings.b * sizes / max(1.0, sizes.mean() if len(sizes) else 1.0))
         self.weight = np.repeat(idf, df) * tf * (settings.k1 + 1) / (tf + length[self.doc])
-        # Each document's own strongest terms are its query.
-        by = np.lexsort((-self.weight, self.doc))
+        # A document's query are all its distinct terms; one that nobody else has finds nobody.
+        rank = np.repeat(np.arange(len(self.terms)), df)
+        others = np.flatnonzero(np.repeat(df, df) > 1)
+        by = others[np.argsort(self.doc[others], kind="stable")]
         bounds = np.searchsorted(self.doc[by], np.arange(len(parts) + 1))
-        rank = np.repeat(np.arange(len(self.terms)), df)[by]
-        self.queries = [rank[a : min(z, a + settings.query_terms)] for a, z in zip(bounds[:-1], bounds[1:])]
+        self.queries = [rank[by[a:z]] for a, z in zip(bounds[:-1], bounds[1:])]
 
     def scores(self, seed: int) -> np.ndarray:
-        rows = [np.arange(self.first[t], self.last[t]) for t in self.queries[seed]]
-        if not rows:
+        terms = self.queries[seed]
+        if not len(terms):
             return np.zeros(self.size)
-        rows = np.concatenate(rows)
+        sizes = self.last[terms] - self.first[terms]
+        ends = np.cumsum(sizes)
+        rows = np.arange(ends[-1]) + np.repeat(self.first[terms] - (ends - sizes), sizes)
         return np.bincount(self.doc[rows], weights=self.weight[rows], minlength=self.size)
 
 
