@@ -46,6 +46,25 @@ def test_main_text_of_odd_pages(spark):
     assert page_templates.main_text(df).count() == len(rows) and page_templates.main_text(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("inner,want", [
+    ("<header><h1>Head</h1></header><p>one</p>", "Head one"),
+    ("<p>one</p><figure><img><figcaption>A caption</figcaption></figure>", "one A caption"),
+    ("<p>mass <math><mi>E</mi><mo>=</mo><mi>m</mi></math> here</p>", "mass E=m here"),
+    ('<p class="legal notice">Read this.</p><p class="related work">Others did.</p>', "Read this. Others did."),
+    ('<p>one</p><p class="ad">Buy</p><div class="related">More</div><footer>foot</footer>', "one"),
+    ("<h2>Ingredients</h2><p>flour %d</p><h2>Method</h2><p>bake %d</p>", None),
+])
+def test_article_keeps_its_own_parts(inner, want):
+    pages = [f"<body><nav>Home</nav><article>{inner.replace('%d', str(k))}</article></body>" for k in range(6)]
+    for k, text in enumerate(page_templates.extract(pages if want is None else pages[:1])):
+        assert text == (want if want is not None else f"Ingredients flour {k} Method bake {k}")
+
+
+def test_all_articles_of_a_page_are_taken():
+    page = "<main id=a><p>first part</p></main><div>between</div><article id=b><p>second part is longer</p></article>"
+    assert page_templates.extract([page]) == ["first part second part is longer"]
+
+
 def test_equivalence_classes():
     vectors = {"a": {0: 1, 1: 1, 2: 1}, "b": {0: 1, 1: 1, 2: 1}, "c": {0: 2, 1: 1, 2: 1}, "d": {0: 1}}
     assert page_templates.classes(vectors, 3, page_templates.Settings()) == {"a", "b"}
