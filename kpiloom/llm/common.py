@@ -117,6 +117,14 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def set_aside(df: DataFrame, *known: str) -> DataFrame:
+    """All columns but ``known`` under numbered names, so that no working column can meet one of them.
+
+    ``toDF`` with the old names brings them back.
+    """
+    return df.toDF(*[c if c in known else f"_extra{i}" for i, c in enumerate(df.columns)])
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     kept = process_state().get("powers")
     if kept is None or len(kept[0]) < n:

@@ -34,7 +34,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import SPACE_CLASS, WORD_CLASS, stored, without
+from kpiloom.llm.common import SPACE_CLASS, set_aside, stored, without
 
 # Public suffixes of two labels; any other suffix is the last label.
 SUFFIXES = (
@@ -197,11 +197,13 @@ def judge(
     pages: DataFrame, rules: Sequence[Rule], outcomes: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
     """Add ``host``, ``path``, ``rule`` and ``verdict`` to every row."""
-    own = without(pages, "host", "path", "rule", "verdict", "_fit", "_bound")
-    parts = own.withColumns(url_parts(F.col("url")))
+    own = without(pages, "host", "path", "rule", "verdict")
+    aside = set_aside(own, "url")
+    parts = aside.withColumns(url_parts(F.col("url")))
     known = stored(reputations(parts, outcomes, settings).select("host", F.col("bound").alias("_bound")))
     fitted = parts.withColumn("_fit", fitting_rule(F.col("host"), F.col("path"), rules))
     method = F.when(F.col("_bound") >= settings.least_good, F.lit("allow")).otherwise(F.lit("block"))
     return fitted.join(known, "host", "left").select(
-        *[F.col(f"`{c}`") for c in own.columns], "host", "path", F.col("_fit.rule").alias("rule"),
-        F.coalesce("_fit.verdict", method).alias("verdict"))
+        *aside.columns, "host", "path", F.col("_fit.rule").alias("rule"),
+        F.coalesce("_fit.verdict", method).alias("verdict"),
+    ).toDF(*own.columns, "host", "path", "rule", "verdict")

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.llm.common import (
-    cut, forget_all_but, mix, prefix_sums, range_hashes, scratch, utf8, value_key, without, word_bounds,
+    cut, forget_all_but, mix, prefix_sums, range_hashes, scratch, set_aside, utf8, value_key, without, word_bounds,
 )
 
 _STEP = np.uint64(0x9FB21C651E98DF25)
@@ -231,6 +231,9 @@ def _templates(docs: DataFrame, settings: Settings) -> DataFrame:
 
 def drop_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` with shortened texts, plus n_lines and n_dropped; ``n_chars``, if there, is counted again."""
+    own = without(docs, "n_lines", "n_dropped")
+    docs = base = set_aside(own, "doc_id", "text", "n_chars")
+    columns = base.columns
     with scratch() as made:
         templates = _templates(docs, settings)
         forget_all_but(made, templates)
@@ -256,8 +259,6 @@ def drop_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
             out.append("\n".join(x for k, x in enumerate(text.split("\n")) if k not in away))
         return pd.Series(out, dtype=object)
 
-    base = without(docs, "n_lines", "n_dropped")
-    columns = base.columns
     joined = base.withColumn("_key", value_key()).join(drops, "_key", "left")
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n")))
     shorter = kept(F.when(F.col("_drop").isNotNull(), F.col("text")), F.col("_drop"))
@@ -268,4 +269,4 @@ def drop_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     })
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(base.schema["n_chars"].dataType))
-    return out.select(*columns, "n_lines", "n_dropped")
+    return out.select(*columns, "n_lines", "n_dropped").toDF(*own.columns, "n_lines", "n_dropped")

@@ -14,8 +14,9 @@ bucket, so no task sees a whole source. One row per source, and one per bucket o
 passes through an ordered window.
 
 Defined results: NULL or blank texts have size 0 and are taken 0 times; a NULL source is a source
-of its own, last in the order; repeated rows are documents of their own; an empty table gives an
-empty result; extra columns are ignored.
+of its own, last in the order; repeated rows are documents of their own, and rows that agree in
+source, id and text stand beside one another; an empty table gives an empty result. ``taken`` ignores
+extra columns, ``mixed`` keeps them under their names, whatever they are called.
 """
 
 from __future__ import annotations

@@ -11,7 +11,9 @@ lengths are powers of two, which need no padding.
 
 A shard's task holds its ids (two bytes each) and its index; one text longer than a shard makes
 that shard as large as the text. Defined results: a NULL text counts as empty and consists of the
-end id alone; repeated rows are documents of their own; an empty table gives no piece.
+end id alone; repeated rows are documents of their own; ties between scores or lengths go to the
+document that stands first in its shard's order (sketch, hash of id and length, ids); an empty table
+gives no piece; extra columns are ignored, whatever they are called.
 """
 
 from __future__ import annotations

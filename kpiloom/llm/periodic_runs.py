@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import prefix_sums, range_hashes, utf8, window_hashes, without
+from kpiloom.llm.common import prefix_sums, range_hashes, set_aside, utf8, window_hashes, without
 
 RESULT = "starts array<bigint>, lengths array<bigint>, periods array<bigint>, n_words bigint, collapsed string"
 
@@ -224,14 +224,15 @@ def _searcher(settings: Settings):
 
 def find(docs: DataFrame, settings: Settings = Settings(), text: str = "text") -> DataFrame:
     """Add ``n_words``, ``runs`` (structs of start, length, period) and ``collapsed`` (the kept words)."""
-    own = without(docs, "n_words", "runs", "collapsed", "_found")
-    found = own.withColumn("_found", _searcher(settings)(F.col(f"`{text}`")))
+    own = without(docs, "n_words", "runs", "collapsed")
+    aside = set_aside(own, text)
+    found = aside.withColumn("_found", _searcher(settings)(F.col(f"`{text}`")))
     zipped = F.arrays_zip("_found.starts", "_found.lengths", "_found.periods")
     runs = F.transform(zipped, lambda r: F.struct(
         r["starts"].alias("start"), r["lengths"].alias("length"), r["periods"].alias("period")))
-    return found.withColumns({
-        "n_words": F.col("_found.n_words"), "runs": runs, "collapsed": F.col("_found.collapsed"),
-    }).drop("_found")
+    return found.select(
+        *aside.columns, F.col("_found.n_words").alias("n_words"), runs.alias("runs"), F.col("_found.collapsed").alias("collapsed"),
+    ).toDF(*own.columns, "n_words", "runs", "collapsed")
 
 
 def greatest(runs: Column) -> Column:

@@ -7,6 +7,12 @@ the non-zero entries. Labels, language, source and id never enter the vector.
 
 Scoring is a Pandas UDF over two columns. Fitting uses at most ``sample_rows`` labelled rows,
 taken in the order of a hash of their id; a few MB of vectors reach the driver.
+
+Defined results: NULL and empty texts have no word and are scored by bias and length bins; texts of
+any length are read whole; repeated rows score alike, each for itself; rows without id are scored but
+never learnt from; a label that is given twice counts once for each row it meets; ties in the order of
+the sample are settled by the vectors; an empty table gives an empty result; without labels every score
+is one half. Extra columns stay; one called like a result column gives way to it.
 """
 
 from __future__ import annotations

@@ -175,3 +175,23 @@ def test_pipeline_run_packs_what_the_stages_keep(spark):
     packed = corpus_pipeline.run(spark, SF_DIR).groupBy("doc_id").agg(
         F.sum("length").alias("n"), F.sum(F.when(F.col("start") == 0, 1)).alias("rows")).collect()
     assert {r.doc_id: r.rows for r in packed} == dict(ids)
+
+
+def test_pipeline_takes_odd_rows(spark, tmp_path, documents, odd):
+    """NULL, empty, blank and very long texts, missing ids, copies, and columns of clashing names."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("doc_id < 60")
+    strange = documents(odd + [(300 + k, "a clean sentence about nothing in particular, told twice.\n" * 2) for k in range(4)])
+    rows = docs.unionByName(strange.withColumn("doc_id", F.col("doc_id") + 10_000))
+    for name in ("score", "_key", "taken"):
+        rows = rows.withColumn(name, F.lit("mine"))
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF_DIR}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    packed = corpus_pipeline.run(spark, str(tmp_path))
+    kept = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = spark.createDataFrame(stage(spark, kept, str(tmp_path)).collect(), rows.schema)
+        assert kept.where("score <> 'mine' or _key <> 'mine' or taken <> 'mine'").count() == 0
+    ids = Counter(r.doc_id for r in kept.select("doc_id").collect())
+    starts = Counter(r.doc_id for r in packed.where("start = 0").collect())
+    assert starts == ids and not {10_001, 10_002, 10_003} & set(ids)
+    assert len([i for i in ids if i and 10_300 <= i < 10_304]) <= 1
