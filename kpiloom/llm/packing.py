@@ -42,7 +42,7 @@ class Settings:
     shard_tokens: int = 2_000_000
     k1: float = 1.2
     b: float = 0.75
-    cached_words: int = 1_200_000
+    cached_words: int = 800_000
     slice_bytes: int = 4_000_000
 
 
