@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import cut, mix, process_state
+from kpiloom.llm.common import cut, give_back, mix, process_state
 
 
 @dataclass(frozen=True)
@@ -42,7 +42,7 @@ class Settings:
     shard_tokens: int = 2_000_000
     k1: float = 1.2
     b: float = 0.75
-    cached_words: int = 800_000
+    cached_words: int = 1_200_000
     slice_bytes: int = 4_000_000
 
 
@@ -119,6 +119,7 @@ class _Words(dict):
 def _words(settings: Settings) -> _Words:
     kept = process_state().setdefault("tokenizers", {})
     if settings.tokenizer not in kept:
+        give_back()
         kept[settings.tokenizer] = _Words(settings.tokenizer, settings.cached_words)
     return kept[settings.tokenizer]
 
