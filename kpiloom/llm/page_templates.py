@@ -1,11 +1,15 @@
 """Main text of web pages by equivalence classes of template tokens.
 
-Pages of one host are read in groups of about ``group`` pages. A page's tokens are its text blocks
-under their element path (tags with id and class, from the root). Tokens with the same occurrence
-vector over the pages of the group form an equivalence class; a class that has its tokens the same
-number of times in nearly all pages is valid, and its blocks are template text, wherever they
-stand. Copies say nothing about a template: vectors go over distinct pages, where pages that share
-``copy`` of their words beside the side parts are one, and fewer than ``pages`` of them have no template.
+Pages of one host are read in groups of about ``group`` pages. A page's tokens are its words, the
+text blocks and their openings, each under its element path (tags with id and class, from the
+root). Tokens with the same occurrence vector over the pages of the group form an equivalence class;
+a class of ``tokens`` or more in nearly all pages is valid if its tokens follow each other in one
+order and it is nested with the other classes. A token outside all classes counts as another one
+in each gap of theirs, and classes are sought again until none is added. Classes that occur the
+same number of times in nearly all pages are the page template, what stands between their tokens fills its
+slots; classes that occur as often as a page has records are data. Copies say nothing about a template:
+vectors go over distinct pages, where pages that share ``copy`` of their words beside the side
+parts are one, and fewer than ``pages`` of them have no template.
 
 The article is all text that is neither template nor inside an element of the named side roles.
 If article or main elements hold such text, theirs is taken, from all of them; otherwise every part
@@ -26,10 +30,13 @@ import re
 from collections import Counter, defaultdict
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kpiloom.llm.common import mix
+
 # Fixed values of HTML: elements by their role.
 RAW = frozenset("script style noscript template svg iframe object canvas textarea select head title".split())
 SIDE = frozenset("nav header footer aside form button dialog menu label fieldset".split())
@@ -62,6 +69,7 @@ class Settings:
     group: int = 128
     pages: int = 4
     share: float = 0.9
+    tokens: int = 2
     copy: float = 0.8
 
 
@@ -137,16 +145,101 @@ def blocks(page: str) -> tuple[list[Block], Counter]:
     return out, paths
 
 
-def classes(vectors: dict, n: int, settings: Settings) -> set:
-    """Tokens of valid equivalence classes: the same count in nearly all of ``n`` pages."""
-    by_vector: dict[tuple, list] = defaultdict(list)
+def grouped(vectors: dict, n: int, settings: Settings) -> dict[tuple, set]:
+    """Equivalence classes by occurrence vector: large (``tokens`` or more) and frequent in the ``n`` pages."""
+    by_vector: dict[tuple, set] = defaultdict(set)
     for token, seen in vectors.items():
-        by_vector[tuple(sorted(seen.items()))].append(token)
-    valid = set()
-    for seen, tokens in by_vector.items():
-        if len(seen) >= settings.share * n and len({count for _, count in seen}) == 1:
-            valid.update(tokens)
-    return valid
+        if len(seen) >= settings.share * n:
+            by_vector[tuple(sorted(seen.items()))].add(token)
+    return {seen: tokens for seen, tokens in by_vector.items() if len(tokens) >= settings.tokens}
+
+
+def steady(vector: tuple) -> bool:
+    """The class occurs equally often in its pages: it is of the page, not of a record that repeats."""
+    return len({count for _, count in vector}) == 1
+
+
+def classes(vectors: dict, n: int, settings: Settings) -> set:
+    """Tokens of the classes that occur the same number of times in nearly all of ``n`` pages."""
+    return set().union(*[tokens for seen, tokens in grouped(vectors, n, settings).items() if steady(seen)])
+
+
+def ordered(tokens: set, pages: list[list]) -> list:
+    """The tokens of a class that follow each other in one order each time the class occurs; empty if none do.
+
+    Tokens that keep their rank best are taken first, one that changes sides with a taken one is left out.
+    """
+    parts: dict[tuple, None] = {}
+    for page in pages:
+        found = [t for t in page if t in tokens]
+        for at in range(0, len(found), len(tokens)):
+            parts[tuple(found[at : at + len(tokens)])] = None
+    if not all(len(set(part)) == len(tokens) for part in parts):
+        return []
+    if len(parts) == 1:
+        return list(next(iter(parts)))
+    order = list(next(iter(parts)))
+    number = {t: k for k, t in enumerate(order)}
+    rank = np.stack([np.argsort([number[t] for t in part]) for part in parts])
+    taken = np.zeros(len(order), dtype=bool)
+    for k in np.argsort(rank.var(axis=0), kind="stable"):
+        before = rank[:, taken] < rank[:, [k]]
+        taken[k] = (before == before[:1]).all()
+    kept = np.flatnonzero(taken)
+    return [order[k] for k in kept[np.argsort(rank[0, kept])]]
+
+
+def nested(inner: list[np.ndarray], size: int, outer: list[np.ndarray], width: int) -> bool:
+    """Each occurrence of a class of ``size`` tokens lies between two neighbours of the other, or beside it.
+
+    ``inner``, ``outer``: the places of the tokens in each page.
+    """
+    for places, others in zip(inner, outer):
+        gaps = np.searchsorted(others, places) % width
+        parts = gaps[: len(gaps) - len(gaps) % size].reshape(-1, size)
+        if (parts != parts[:, :1]).any():
+            return False
+    return True
+
+
+def template(pages: list[list], chosen: list[int], settings: Settings) -> list[list[bool]]:
+    """Which places of each page hold a token of the page template, by the classes of the ``chosen`` pages.
+
+    Classes are valid if they are ordered and nested with the larger ones. A token outside all classes
+    then counts as another one in each of their gaps, and classes are sought anew, until none is added.
+    """
+    pages = [list(page) for page in pages]
+    done = -1
+    while True:
+        vectors: dict = defaultdict(dict)
+        for k in chosen:
+            for token, count in Counter(pages[k]).items():
+                vectors[token][k] = count
+        found = grouped(vectors, len(chosen), settings)
+        orders = [(v, ordered(tokens, [pages[k] for k in chosen])) for v, tokens in found.items()]
+        orders = [(v, order) for v, order in orders if len(order) >= settings.tokens]
+        orders.sort(key=lambda o: (not steady(o[0]), -len(o[1]), o[0]))
+        owner = {t: k for k, (_, order) in enumerate(orders) for t in order}
+        owners = [np.array([owner.get(t, -1) for t in page], dtype=np.int64) for page in pages]
+        valid: list[tuple[int, list[np.ndarray]]] = []
+        fixed: set = set()
+        inside: set = set()
+        for k, (seen, order) in enumerate(orders):
+            places = [np.flatnonzero(o == k) for o in owners]
+            mine = [places[c] for c in chosen]
+            if all(nested(mine, len(order), [other[c] for c in chosen], width) for width, other in valid):
+                valid.append((len(order), places))
+                inside.update(order)
+                if steady(seen):
+                    fixed.update(order)
+        if len(inside) <= done or not valid:
+            return [[t in fixed for t in page] for page in pages]
+        done = len(inside)
+        for k, page in enumerate(pages):
+            gap = np.zeros(len(page), dtype=np.uint64)
+            for width, places in valid:
+                gap = mix(gap + (np.searchsorted(places[k], np.arange(len(page))) % width).astype(np.uint64))
+            page[:] = [t if t in inside else (t, g) for t, g in zip(page, gap.tolist())]
 
 
 def _tag(label: str) -> str:
@@ -180,28 +273,69 @@ def distinct(pages: list[list[Block]], settings: Settings) -> list[int]:
     return first
 
 
+def tokens(parsed: list[list[Block]], chosen: list[int], settings: Settings) -> list[list[list]]:
+    """Tokens of each block of each page: its path, its whole text and its words, each under its path.
+
+    A token of fewer pages than a class needs belongs to none and is left out.
+    """
+    spread: dict[tuple, Counter] = defaultdict(Counter)
+    for k in chosen:
+        met: dict[tuple, set] = defaultdict(set)
+        for block in parsed[k]:
+            met[block.path].update(block.text.split(), [("",), (block.text,)])
+        for path, those in met.items():
+            spread[path].update(those)
+    least = settings.share * len(chosen)
+    often = {path: {t for t, n in those.items() if n >= least} for path, those in spread.items()}
+    number = {path: n for n, path in enumerate(often)}
+    out = []
+    for found in parsed:
+        page = []
+        for block in found:
+            known = often.get(block.path, ())
+            page.append([
+                (number[block.path], t) for t in [("",), (block.text,), *block.text.split()] if t in known])
+        out.append(page)
+    return out
+
+
 def extract(pages: list[str | None], settings: Settings = Settings()) -> list[str]:
     """Main texts of pages of one host."""
     parsed = [blocks(page or "")[0] for page in pages]
     chosen = distinct(parsed, settings)
-    by_text: dict = defaultdict(dict)
-    for k in chosen:
-        for token, count in Counter((b.path, b.text) for b in parsed[k]).items():
-            by_text[token][k] = count
     # Words that recur in a few pages say nothing about a template.
-    fixed = classes(by_text, len(chosen), settings) if len(chosen) >= settings.pages else set()
+    shared: list[list[tuple[bool, int]]] = [[(False, 0)] * len(found) for found in parsed]
+    if len(chosen) >= settings.pages:
+        per_block = tokens(parsed, chosen, settings)
+        marks = template([[t for block in page for t in block] for page in per_block], chosen, settings)
+        for k, (page, mark) in enumerate(zip(per_block, marks)):
+            at = 0
+            for j, block in enumerate(page):
+                told = [t[1] for t, m in zip(block, mark[at : at + len(block)]) if m]
+                at += len(block)
+                words = sum(isinstance(t, str) for t in told)
+                shared[k][j] = (parsed[k][j].text,) in told, words
 
     def named(path: tuple[str, ...]) -> tuple[str, ...]:
         """The path of the outermost article or main element; empty outside."""
         inside = next((k for k, label in enumerate(path) if _tag(label) in ARTICLE), -1)
         return path[: inside + 1]
 
-    def template(block: Block) -> bool:
-        """Headings that the articles of a host share are headings; all else they share is template."""
-        heading = _tag(block.path[-1]) in HEADINGS if block.path else False
-        return (block.path, block.text) in fixed and not (heading and named(block.path))
-
-    own = [[b for b in found if not b.side and not template(b)] for found in parsed]
+    def of_template(block: Block, whole: bool, words: int) -> bool:
+        """Headings that the articles of a host share are headings; all else they share is template.
+
+        A block with slots is template outside article and main if most of its words are; inside,
+        what fills the slots is the article's, and the block stays as it is.
+        """
+        slots = len(block.text.split()) - words
+        if named(block.path):
+            heading = _tag(block.path[-1]) in HEADINGS
+            return (whole or not slots) and not heading
+        return whole or words > slots
+
+    own = [
+        [b for b, of in zip(found, those) if not b.side and not of_template(b, *of)]
+        for found, those in zip(parsed, shared)]
     out = []
     for found in own:
         inside = [b for b in found if named(b.path)]

@@ -70,6 +70,31 @@ def test_equivalence_classes():
     assert page_templates.classes(vectors, 3, page_templates.Settings()) == {"a", "b"}
 
 
+def test_classes_are_ordered_and_nested():
+    pages = [list("abxc"), list("abcx"), list("axbc"), list("abcx")]
+    assert page_templates.ordered(set("abxc"), pages) == list("abc")
+    assert page_templates.ordered(set("ab"), [list("aabb"), list("abab")]) == []
+    places = lambda *x: [np.array(x)]
+    assert page_templates.nested(places(1, 2, 3, 4), 2, places(0, 5), 2)
+    assert not page_templates.nested(places(1, 6), 2, places(0, 5), 2)
+    # "the" is in the template and in the text: the first stands in a gap of its own.
+    marks = page_templates.template([["a", "the", "b", *["the"] * n] for n in (0, 2, 1, 0)], [0, 1, 2, 3], page_templates.Settings())
+    assert marks == [[True] * 3 + [False] * n for n in (0, 2, 1, 0)]
+
+
+def test_template_blocks_have_slots():
+    """Outside the article a mostly fixed block goes with what fills its slots, inside it stays."""
+    rng = random.Random(6)
+    own = [" ".join(str(rng.random()) for _ in range(12)) for _ in range(8)]
+    by = [f"By {name} on day {7 * k + 3}" for k, name in enumerate("John Mary Ann Bob Eve Tom Zoe Ian".split())]
+    records = ["".join(f"<p>Name: {rng.random()} Age: {k}</p>" for k in range(n)) for n in (1, 3, 2, 5, 4, 1, 2, 3)]
+    told = [r.replace("<p>", "").replace("</p>", " ").strip() for r in records]
+    assert page_templates.extract([f"<div>{b}</div><div id=t><p>{t}</p>{r}</div>" for b, t, r in zip(by, own, records)]) == [
+        f"{t} {r}" for t, r in zip(own, told)]
+    assert page_templates.extract([f"<article><p>{b}</p><p>{t}</p></article>" for b, t in zip(by, own)]) == [
+        f"{b} {t}" for b, t in zip(by, own)]
+
+
 @pytest.mark.parametrize("body", ["article", "main", "div"])
 def test_unnamed_template_inside_the_article(body):
     rng = random.Random(3)
