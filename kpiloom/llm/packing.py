@@ -18,8 +18,10 @@ gives no piece; extra columns are ignored, whatever they are called.
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -46,6 +48,24 @@ class Settings:
     slice_bytes: int = 4_000_000
 
 
+# Tokenizers with these two steps before their model cut a word of printable ASCII and lower-case
+# Latin letters as ``_PIECE`` does, and spell a piece byte by byte in the GPT-2 alphabet.
+_STEPS = (
+    {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+)
+_LATIN = "".join(c for c in map(chr, range(0xC0, 0x250)) if c.isalpha() and c.lower() == c)
+_PLAIN = re.compile(f"[!-@\\[-~{_LATIN}]+")
+_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[^a-z0-9{_LATIN}]+")
+_KEPT = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: chr(b) for b in _KEPT} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _KEPT)}
+_SPELLED = {ord(c): "".join(_BYTES[b] for b in c.encode()) for c in _LATIN}
+
+
 class _Words(dict):
     """Ids of white-space separated pieces of text, as bytes.
 
@@ -64,15 +84,28 @@ class _Words(dict):
         # not, or with a token of the tokenizer's own are encoded as a whole.
         own = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.odd = "(?i)" + "|".join(["[\\x1c-\\x1f]", *own])
+        steps = json.loads(self.tokenizer.to_str())
+        self.model = self.tokenizer.model if (steps["normalizer"], steps["pre_tokenizer"]) == _STEPS else None
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.type).tobytes()
 
     def learn(self, words: list[str]) -> None:
-        """Add words: many in one call, the offsets of the ids tell whose they are."""
+        """Add words. Plain ones go to the model piece by piece, which the tokenizer's first steps would do.
+
+        Of the others many go in one call, the offsets of the ids tell whose they are.
+        """
         joint = []
         for w in words:
-            if not w or not unicodedata.is_normalized("NFC", w) or not w.isprintable():
+            if self.model and _PLAIN.fullmatch(w):
+                cut_up = [w] if w.isalpha() else _PIECE.findall(w)
+                for piece in cut_up:
+                    if piece not in self:  # a piece by itself is a word with the same ids
+                        found = self.model.tokenize(piece if piece.isascii() else piece.translate(_SPELLED))
+                        self[piece] = array(self.type.char, [t.id for t in found]).tobytes()
+                if len(cut_up) > 1:
+                    self[w] = b"".join([self[piece] for piece in cut_up])
+            elif not w or not unicodedata.is_normalized("NFC", w) or not w.isprintable():
                 self[w] = self.encode(w)
             else:
                 joint.append(w)
@@ -96,15 +129,19 @@ class _Words(dict):
         words = pc.utf8_split_whitespace(pc.ascii_lower(texts))
         coded = words.flatten().dictionary_encode()
         unique = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        self.learn([w for w in unique if w not in self])
-        held = [self[w] for w in unique]
+        held = list(map(self.get, unique))
+        self.learn([w for w, ids in zip(unique, held) if ids is None])
+        held = [self[w] if ids is None else ids for w, ids in zip(unique, held)]
         width = self.type.itemsize
         pool = np.frombuffer(b"".join(held), dtype=self.type)
-        sizes = np.fromiter(map(len, held), dtype=np.int64, count=len(held)) // width
+        sizes = np.fromiter(map(len, held), dtype=np.int32, count=len(held)) // width
         at = coded.indices.to_numpy()
         n = sizes[at]
-        until = np.cumsum(n)
-        out = pool[np.repeat((np.cumsum(sizes) - sizes)[at] - (until - n), n) + np.arange(until[-1] if len(n) else 0)]
+        until = np.cumsum(n, dtype=np.int64)
+        # A slice has far fewer ids than an int32 counts, unless one text is larger than that.
+        place = np.int32 if not len(n) or until[-1] < 1 << 31 else np.int64
+        shift = (np.cumsum(sizes, dtype=np.int64) - sizes)[at] - (until - n)
+        out = pool[np.repeat(shift.astype(place), n) + np.arange(until[-1] if len(n) else 0, dtype=place)]
         bounds = words.offsets.to_numpy()
         ends = np.append(0, until)[bounds[1:] - bounds[0]]
         odd = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)

@@ -179,6 +179,23 @@ def test_packing_is_a_round_trip(documents, odd):
             assert b"".join(b for _, b in sorted(pieces)) == ids
 
 
+def test_plain_words_skip_the_first_steps_of_the_tokenizer():
+    """Same ids as the whole tokenizer's, which only odd words go through."""
+    words = packing._Words(tokenizer(), 100_000)
+    rng = random.Random(8)
+    letters = "abcrstvemld'019.,-_$#|" + packing._LATIN
+    plain = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) for _ in range(3000)] + ["don't", "we'll,", "\u00e9t\u00e9s."]
+    strange = ["\u00c9", "\u0130x", "e\u0301", "\u00b2a", "\u03a3\u03c2", "\u4e2d\u6587"]
+    want = {w: words.encode(w) for w in plain + strange}
+    called = []
+    words.encode = lambda w, whole=words.encode: called.append(w) or whole(w)
+    words.tokenizer = type("Whole", (), {"encode": lambda self, text, t=words.tokenizer, **k: called.append(text) or t.encode(text, **k)})()
+    words.learn(plain)
+    assert not called
+    words.learn(strange)
+    assert called and {w: words[w] for w in want} == want
+
+
 def test_packing_takes_related_texts_together():
     rng = np.random.default_rng(7)
     a, b = np.arange(10, 60, dtype=np.uint16), np.arange(500, 550, dtype=np.uint16)
