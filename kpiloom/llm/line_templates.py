@@ -59,6 +59,7 @@ class Settings:
     min_spread: float = 0.5
     own_share: float = 0.25
     min_constant: float = 0.7
+    chunk: int = 1 << 17
 
 
 def _parse(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -97,47 +98,63 @@ def _lines(docs: DataFrame, settings: Settings) -> DataFrame:
     ``words`` is negative where the lines are too short to be dropped.
     """
 
+    def told(keys: list[int], texts: list[bytes]) -> pd.DataFrame:
+        words, of, counts, _ = _parse(b"\n".join(texts))
+        # The lines of all texts follow each other; no word goes across their breaks.
+        text = np.repeat(np.arange(len(texts)), [t.count(b"\n") + 1 for t in texts])
+        total = np.bincount(text, weights=counts, minlength=len(texts)).astype(np.int64)
+        filled = np.flatnonzero(counts > 0)
+        leaf, text, size = _leaves(words, counts, settings.depth)[filled], text[filled], counts[filled]
+        order = np.lexsort((leaf, text))
+        leaf, text, size = leaf[order], text[order], size[order]
+        first = np.flatnonzero(np.append(True, (leaf[1:] != leaf[:-1]) | (text[1:] != text[:-1]))[: len(leaf)])
+        times = np.diff(np.append(first, len(leaf)))
+        size, text = size[first], text[first]
+        mass = np.where(size < settings.min_words, -size, size) * times
+        return pd.DataFrame({
+            "_key": np.array(keys, dtype=np.int64)[text], "leaf": _signed(leaf[first]), "words": mass.astype(np.int32),
+            "total": total[text].astype(np.int32)})
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            out = []
+            keys, texts, size = [], [], 0
             for key, text in zip(frame["_key"], frame["text"]):
-                words, _, counts, _ = _parse(utf8(text))
-                filled = counts > 0
-                leaf, first, times = np.unique(
-                    _leaves(words, counts, settings.depth)[filled], return_index=True, return_counts=True)
-                size = counts[filled][first]
-                mass = np.where(size < settings.min_words, -size, size) * times
-                out.append((np.full(len(leaf), key), leaf, mass, np.full(len(leaf), len(words))))
-            if out:
-                key, leaf, mass, total = (np.concatenate(x) for x in zip(*out))
-                yield pd.DataFrame({
-                    "_key": key, "leaf": _signed(leaf), "words": mass.astype(np.int32), "total": total.astype(np.int32)})
+                keys.append(key)
+                texts.append(utf8(text))
+                size += len(texts[-1])
+                if size >= settings.chunk:
+                    yield told(keys, texts)
+                    keys, texts, size = [], [], 0
+            if keys:
+                yield told(keys, texts)
 
     return docs.select(value_key().alias("_key"), "text").mapInPandas(
         run, "_key long, leaf long, words int, total int")
 
 
 def contexts(
-    key: int, leaf: np.ndarray, words: np.ndarray, texts: np.ndarray, total: int, own_share: float
+    key: np.ndarray, leaf: np.ndarray, words: np.ndarray, texts: np.ndarray, total: np.ndarray, own_share: float
 ) -> np.ndarray:
-    """The context of each leaf of a text that other texts have too; ``texts``: how many have it."""
+    """The context of each leaf that other texts have too, row by row.
+
+    Rows of one text (``key``) follow each other; ``texts``: how many have the leaf; ``total``: the words
+    of the row's text.
+    """
+    text = np.cumsum(np.append(True, key[1:] != key[:-1])[: len(key)]) - 1
     band = np.frexp(texts.astype(np.float64))[1] - 1
-    n = int(band.max()) + 1
-    mass = np.bincount(band, weights=words, minlength=n)
-    mass[0] = total - words.sum()
-    order = np.lexsort((leaf, band))
-    at = np.searchsorted(band[order], np.arange(n))
-    lowest = leaf[order[np.minimum(at, len(leaf) - 1)]]
-    second = leaf[order[np.minimum(at + 1, len(leaf) - 1)]]
-    out = np.empty(len(leaf), dtype=leaf.dtype)
-    for own in range(n):
-        mine = np.flatnonzero(band == own)
-        sums = np.cumsum(mass)[None, :] - words[mine][:, None] * (np.arange(n) >= own)
-        rest = total - words[mine]
-        found = np.argmax((sums > 0) & (sums >= own_share * rest[:, None]), axis=1)
-        low = np.where(lowest[found] == leaf[mine], second[found], lowest[found])
-        out[mine] = np.where(rest == 0, 0, np.where(found == 0, key, low))
-    return out
+    n = int(band.max(initial=0)) + 1
+    start = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+    mass = np.bincount(text * n + band, weights=words, minlength=len(start) * n).reshape(-1, n)
+    mass[:, 0] = total[start] - mass.sum(axis=1)
+    order = np.lexsort((leaf, band, text))
+    first = np.searchsorted((text * n + band)[order], np.arange(len(start) * n)).reshape(-1, n)
+    ranked = leaf[order]
+    sums = np.cumsum(mass, axis=1)[text] - words[:, None] * (np.arange(n) >= band[:, None])
+    rest = total - words
+    found = np.argmax((sums > 0) & (sums >= own_share * rest[:, None]), axis=1)
+    at = np.minimum(first[text, found], len(leaf) - 1)
+    low = np.where(ranked[at] == leaf, ranked[np.minimum(at + 1, len(leaf) - 1)], ranked[at])
+    return np.where(rest == 0, 0, np.where(found == 0, key, low))
 
 
 def _placed(lines: DataFrame, settings: Settings) -> DataFrame:
@@ -153,14 +170,14 @@ def _placed(lines: DataFrame, settings: Settings) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            out = []
-            for key, total, copies, leaf, words, texts in frame.itertuples(index=False):
-                found = contexts(key, leaf, np.abs(words), texts, total, settings.own_share)
-                keep = (texts >= settings.min_docs) & (words > 0)
-                n = int(keep.sum())
-                out.append((np.full(n, key), leaf[keep], found[keep], np.full(n, copies)))
-            if out:
-                yield pd.DataFrame(dict(zip(("_key", "leaf", "context", "_copies"), (np.concatenate(x) for x in zip(*out)))))
+            if not len(frame):
+                continue
+            sizes = [len(x) for x in frame["leaf"]]
+            key, total, copies = (np.repeat(frame[c].to_numpy(), sizes) for c in ("_key", "total", "_copies"))
+            leaf, words, texts = (np.concatenate(frame[c].tolist()) for c in ("leaf", "words", "texts"))
+            found = contexts(key, leaf, np.abs(words), texts, total, settings.own_share)
+            keep = (texts >= settings.min_docs) & (words > 0)
+            yield pd.DataFrame({"_key": key[keep], "leaf": leaf[keep], "context": found[keep], "_copies": copies[keep]})
 
     return of_text.mapInPandas(run, "_key long, leaf long, context long, _copies long")
 

@@ -275,6 +275,24 @@ def test_line_template_fields_at_two_sizes(documents, n):
     assert found == {i: int(i < n + 20) for i in range(n + 40)}
 
 
+def test_lines_and_contexts_of_many_texts_at_once(documents):
+    """A batch of texts gives what each text gives alone."""
+    rng = np.random.default_rng(4)
+    texts = ["", "\n\n", None, "a b c d\n\na b c d\n"] + [
+        "\n".join(" ".join(rng.choice(list("abc"), rng.integers(0, 6))) for _ in range(rng.integers(1, 9))) for _ in range(200)]
+    docs = documents(list(enumerate(texts)))
+    single, batch = (
+        Counter(map(tuple, line_templates._lines(docs, line_templates.Settings(chunk=n)).collect())) for n in (1, 1 << 17))
+    assert single == batch and len(batch) > 400
+    for _ in range(50):
+        m = int(rng.integers(1, 30))
+        key, leaf = np.sort(rng.integers(0, 6, m)), rng.permutation(1000)[:m]
+        words, count = rng.integers(1, 9, m), 2 ** rng.integers(1, 6, m)
+        total = np.array([words[key == k].sum() + 7 * k for k in key])
+        alone = [line_templates.contexts(*(x[key == k] for x in (key, leaf, words, count, total)), 0.25) for k in np.unique(key)]
+        assert (np.concatenate(alone) == line_templates.contexts(key, leaf, words, count, total, 0.25)).all()
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_line_templates_of_texts_that_share_several_lines(documents, seed):
     """Short unrelated texts with the same lines lose them; near copies with a line of their own keep theirs."""
