@@ -47,6 +47,21 @@ def shingle_set(text: str | None) -> frozenset:
     return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
 
 
+def edited(rng: random.Random, words: list[str], edits: int) -> str:
+    """The words with some of them replaced by new ones."""
+    words = list(words)
+    for at in rng.sample(range(len(words)), edits):
+        words[at] = f"w{rng.getrandbits(40)}"
+    return " ".join(words)
+
+
+def edited_copies(seed: int, n: int, words: int, edits: int) -> list[tuple[int, str]]:
+    """Near copies of one text that is not among them."""
+    rng = random.Random(seed)
+    original = [f"o{rng.getrandbits(40)}" for _ in range(words)]
+    return [(i, edited(rng, original, edits)) for i in range(n)]
+
+
 def brute_components(rows) -> dict:
     sets = [(i, shingle_set(t)) for i, t in rows]
     label = {k: k for k in range(len(sets))}
@@ -73,6 +88,31 @@ def test_jaccard_components_match_all_pairs(documents, odd, settings):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == want
 
 
+@pytest.mark.parametrize("settings", [
+    jaccard_join.Settings(group=1), jaccard_join.Settings(group=2, rounds=1),
+    jaccard_join.Settings(group=2, rounds=2, frequent=4, flush=200, run_rows=2)])
+@pytest.mark.parametrize("seed", [3, 4])
+def test_jaccard_components_through_hubs(documents, settings, seed):
+    rows = near_copies(seed) + edited_copies(seed, 40, 60, 1) + edited_copies(seed + 9, 40, 90, 3)
+    rows = [(i, text) for i, (_, text) in enumerate(rows)]
+    found = jaccard_join.components(documents(rows), settings).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(rows)
+
+
+def test_jaccard_near_copies_without_original_meet_rarely(documents, monkeypatch):
+    """They gave 24,376 pairs when all classes of a shingle were paired."""
+    met = []
+    verified = jaccard_join._verified
+    monkeypatch.setattr(jaccard_join, "_verified", lambda pairs, *more: met.append(pairs.count()) or verified(pairs, *more))
+    rng, n = random.Random(6), 300
+    rows = edited_copies(6, n, 150, 3)
+    # Some are linked with one other that has one more edit.
+    rows += [(n + i, edited(rng, rows[i][1].split(), 1)) for i in range(0, n, 30)]
+    found = jaccard_join.components(documents(rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(rows)
+    assert sum(met) <= 10 * len(rows)
+
+
 def test_jaccard_keeps_one_of_each_group(documents, odd):
     rows = near_copies(2) + [(None if i is None else i + 1000, t) for i, t in odd]
     want = brute_components(rows)
