@@ -89,8 +89,7 @@ def test_jaccard_components_match_all_pairs(documents, odd, settings):
 
 
 @pytest.mark.parametrize("settings", [
-    jaccard_join.Settings(group=1), jaccard_join.Settings(group=2, rounds=1),
-    jaccard_join.Settings(group=2, rounds=2, frequent=4, flush=200, run_rows=2)])
+    jaccard_join.Settings(group=1), jaccard_join.Settings(group=2, frequent=4, flush=200, run_rows=2)])
 @pytest.mark.parametrize("seed", [3, 4])
 def test_jaccard_components_through_hubs(documents, settings, seed):
     rows = near_copies(seed) + edited_copies(seed, 40, 60, 1) + edited_copies(seed + 9, 40, 90, 3)
