@@ -112,6 +112,33 @@ def test_jaccard_near_copies_without_original_meet_rarely(documents, monkeypatch
     assert sum(met) <= 10 * len(rows)
 
 
+def test_jaccard_rows_of_a_shingle_carry_no_list(documents, monkeypatch):
+    """A list per shingle grows with the square of a text; a pair is counted once its end is all that travels."""
+    kinds, cut, stored = {}, jaccard_join.cut, jaccard_join.stored
+
+    def noted(write):
+        def run(df):
+            kinds[tuple(df.columns)] = [f.dataType.typeName() for f in df.schema]
+            return write(df)
+        return run
+
+    monkeypatch.setattr(jaccard_join, "cut", noted(cut))
+    monkeypatch.setattr(jaccard_join, "stored", noted(stored))
+    base = " ".join(f"w{i}" for i in range(120))
+    rows = [(i, base.replace(f"w{9 * i} ", f"x{i} ").replace(f"w{70 - i} ", "y ")) for i in range(8)]
+    assert jaccard_join.components(documents(rows)).count() == 8
+    by_shingle = {c: k for c, k in kinds.items() if "token" in c}
+    assert by_shingle and not any("array" in k for k in by_shingle.values())
+
+
+def test_jaccard_worker_counts_repeats_in_place():
+    for values in ([], [5], [3, 3], [1, 2, 3], [7, 1, 7, 2, 1, 7], [4] * 9):
+        own = np.array(values, dtype=np.uint64)
+        found, counts = jaccard_join._repeated(own)
+        wanted = {v: n for v, n in Counter(values).items() if n > 1}
+        assert dict(zip(found.tolist(), counts.tolist())) == wanted
+
+
 def test_jaccard_keeps_one_of_each_group(documents, odd):
     rows = near_copies(2) + [(None if i is None else i + 1000, t) for i, t in odd]
     want = brute_components(rows)
